@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stakeline.params import TimeWindow
+from stakeline.params import DAY_START_HOUR, TimeWindow
 
 SECONDS_MASK = "yyyy-MM-dd HH:mm:ss"
 
@@ -34,3 +34,8 @@ def seconds_between(earlier: Column, later: Column) -> Column:
 def tz_shift(ts: Column, hours: int) -> Column:
     """Move a zone-less timestamp by a fixed, signed number of hours."""
     return ts + F.make_dt_interval(hours=F.lit(hours))
+
+
+def business_day(ts: Column) -> Column:
+    """Date of the business day a time falls in."""
+    return tz_shift(ts, -DAY_START_HOUR).cast("date")

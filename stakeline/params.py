@@ -23,6 +23,9 @@ ESSENTIALS = ("transaction_date", "csn_customer_id", "csn_game_id")
 SPORTS_FILTER_HOURS = -6
 SPORTS_REPORT_HOURS = -3
 
+# Fixed value: hour at which a business day starts.
+DAY_START_HOUR = 6
+
 MASK = "%Y-%m-%d %H:%M:%S"
 
 

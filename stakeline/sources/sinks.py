@@ -7,15 +7,18 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stakeline.functions.times import business_day
 from stakeline.session import shared_dir
 
 DAY = "business_day"
 
 
-def with_day(df: DataFrame, ts: str = "transaction_date", starts_at_hour: int = 0) -> DataFrame:
-    """Adds the business day a row belongs to, as the partition column for daily tables."""
-    shifted = F.col(ts) - F.make_dt_interval(hours=F.lit(starts_at_hour))
-    return df.withColumn(DAY, shifted.cast("date"))
+def with_day(df: DataFrame, ts: str = "transaction_date") -> DataFrame:
+    """Adds the business day of ``ts``, the partition column of daily tables.
+
+    A run over one business day then fills exactly one folder.
+    """
+    return df.withColumn(DAY, business_day(F.col(ts)))
 
 
 def append_table(df: DataFrame, path: str, by: str | None = None) -> None:

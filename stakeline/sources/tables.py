@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stakeline.functions.times import within
+from stakeline.functions.times import business_day, ntz, within
 from stakeline.functions.values import convert
 from stakeline.params import FIRST_SESSION_ID, TimeWindow
 
@@ -55,14 +55,14 @@ def extract_transactions(
 ) -> DataFrame:
     """Seven ledger columns inside the window, customer code as a number.
 
-    ``day_column`` names the date partition column of a table written by ``append_table``;
-    the window then also prunes whole day folders.
+    ``day_column`` names the business-day partition column of a table written by
+    ``append_table``; the window then also prunes whole day folders.
     """
     rows = src.where(within(F.col("transaction_date"), window))
     if day_column:
         rows = rows.where(
             F.col(day_column).between(
-                F.lit(window.start.date()), F.lit(window.end.date())
+                business_day(ntz(window.start)), business_day(ntz(window.end))
             )
         )
     return rows.select(
