@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stakeline.operators.lanes import lanes, merge
+from stakeline.operators.lanes import HotKeys, find_hot, lanes, merge
 from stakeline.params import DEFAULT_SKEW, SkewPolicy
 
 SPREAD = 4096
@@ -21,6 +21,7 @@ def asof_last(
     out: str,
     tiebreak: str | None = None,
     skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Adds ``value`` of the key's latest right row at or before the left row's time.
 
@@ -44,11 +45,13 @@ def asof_last(
         {"_at": F.col(left_time), "_side": F.lit(1), "_spread": spread}
     )
     stacked = asked.unionByName(hits, allowMissingColumns=True)
+    if hot is None:
+        hot = find_hot(left.select(key).union(right.select(key)), (key,), skew)
     # Right rows come first among equal times, which makes "at or before" inclusive.
     found = merge(
         [
             lane.last_before(F.col("_hit"), "_found").rows()
-            for lane in lanes(stacked, (key, "_spread"), ("_at", "_side", "_tie"), skew)
+            for lane in lanes(stacked, (key, "_spread"), ("_at", "_side", "_tie"), skew, hot)
         ]
     )
     return found.where(F.col("_side") == 1).select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stakeline.functions.codes import is_bet, is_core
 from stakeline.functions.times import within
-from stakeline.operators.lanes import lanes, merge
+from stakeline.operators.lanes import HotKeys, all_present, find_hot, lanes, merge
 from stakeline.params import DEFAULT_SKEW, SkewPolicy, TimeWindow
 
 TYPE = "csn_cust_transaction_type_id"
@@ -45,7 +45,7 @@ def _one_game_per_key(bets: DataFrame, time: str) -> DataFrame:
         F.col("customer_id").alias(KEY[0]), F.col(time).alias(KEY[1]), F.col("csn_game_id")
     )
     return (
-        keyed.dropna(subset=KEY)
+        keyed.where(all_present(KEY))
         .groupBy(*KEY)
         .agg(F.max("csn_game_id").alias("_game"), F.lit(True).alias("_matched"))
     )
@@ -93,7 +93,7 @@ def fill_from_bets(ledger: DataFrame, bets: DataFrame) -> DataFrame:
     lookup = (
         bets.select(F.col("customer_id").alias(KEY[0]), F.inline(sides))
         .withColumnRenamed("at", KEY[1])
-        .dropna(subset=KEY)
+        .where(all_present(KEY))
         .groupBy(*KEY)
         .agg(F.max("played").alias("_played"), F.max("updated").alias("_updated"))
     )
@@ -106,7 +106,18 @@ def fill_from_bets(ledger: DataFrame, bets: DataFrame) -> DataFrame:
     return _set_game(joined, game, ledger.columns)
 
 
-def fill_forward(ledger: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+def _may_fill() -> Column:
+    return is_core(F.col(TYPE)) & all_present(KEY)
+
+
+def find_hot_histories(ledger: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> HotKeys:
+    """Customers and types with too many core rows for one task."""
+    return find_hot(ledger.where(_may_fill()), (KEY[0], TYPE), skew)
+
+
+def fill_forward(
+    ledger: DataFrame, skew: SkewPolicy = DEFAULT_SKEW, hot: HotKeys | None = None
+) -> DataFrame:
     """Core rows without a game take the latest game the customer had, strictly earlier, in a
     row of the same type; of several at that time the greatest.
 
@@ -114,22 +125,18 @@ def fill_forward(ledger: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> DataFram
     order" is "strictly earlier in time" for them. Filled values are not passed on, which
     changes nothing: they equal the value they came from.
     """
-    may_fill = (
-        is_core(F.col(TYPE))
-        & F.col("csn_customer_id").isNotNull()
-        & F.col("transaction_date").isNotNull()
-    )
     # Rows that take no part are spread evenly instead of meeting under a null or other key.
-    spread = F.when(may_fill, F.lit(0)).otherwise(
+    spread = F.when(_may_fill(), F.lit(0)).otherwise(
         1 + F.pmod(F.xxhash64("customer_transaction_id"), F.lit(SPREAD))
     )
     parts = [
         lane.last_before(F.col("csn_game_id"), "_earlier").rows()
         for lane in lanes(
             ledger.withColumn("_spread", spread),
-            ("csn_customer_id", TYPE, "_spread"),
-            ("transaction_date", "csn_game_id"),
+            (KEY[0], TYPE, "_spread"),
+            (KEY[1], "csn_game_id"),
             skew,
+            hot or find_hot_histories(ledger, skew),
         )
     ]
     earlier = F.when(F.col("_spread") == 0, F.col("_earlier"))

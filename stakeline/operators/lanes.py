@@ -10,7 +10,9 @@ hand on (last value, running sum). What is handed on is one row per chunk and ke
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,33 +54,33 @@ class Lane:
     def rows(self) -> DataFrame:
         return self.df.drop(CHUNK)
 
-    def last_before(self, value: Column, out: str, every_row: bool = False) -> Lane:
-        """Adds the latest non-null ``value`` among earlier rows of the key.
-
-        With ``every_row`` the value is never null and the result is plain LAG.
-        """
+    def previous(self, columns: dict[str, str]) -> Lane:
+        """Adds columns of the key's row before, given as new name -> column."""
         in_order = Window.partitionBy(*self._by).orderBy(*self.order)
-        near = (
-            F.lag(value).over(in_order)
-            if every_row
-            else F.last(value, ignorenulls=True).over(in_order.rowsBetween(*BEFORE))
-        )
+        near = {out: F.lag(column).over(in_order) for out, column in columns.items()}
+        seen = self.with_df(self.df.withColumns(near))
         if not self.chunked:
-            return self.with_df(self.df.withColumn(out, near))
-        position = F.struct(*self.order, value.alias("value"))
-        tails = self.df.groupBy(*self._by).agg(
-            F.max(F.when(value.isNotNull(), position)).alias("_tail")
-        )
-        handed_on = tails.select(
-            *self._by,
-            F.last(F.col("_tail.value"), ignorenulls=True)
-            .over(self._chunks_of_key().rowsBetween(*BEFORE))
-            .alias("_from_before"),
-        )
+            return seen
+        tail = F.struct(*[F.col(c).alias(out) for out, c in columns.items()])
+        # Only the first row of a chunk has no row before it in the chunk.
+        first = F.row_number().over(in_order) == 1
+        handed = seen.with_df(seen.df.withColumn("_first", first))._hand_on(tail)
+        picked = {
+            out: F.when(F.col("_first"), F.col(f"_from_before.{out}")).otherwise(F.col(out))
+            for out in columns
+        }
+        return self.with_df(handed.withColumns(picked).drop("_from_before", "_first"))
+
+    def last_before(self, value: Column, out: str) -> Lane:
+        """Adds the latest non-null ``value`` among earlier rows of the key."""
+        in_order = Window.partitionBy(*self._by).orderBy(*self.order)
+        near = F.last(value, ignorenulls=True).over(in_order.rowsBetween(*BEFORE))
+        seen = self.with_df(self.df.withColumn(out, near))
+        if not self.chunked:
+            return seen
+        handed = seen._hand_on(value)
         return self.with_df(
-            self._give(self.df.withColumn(out, near), handed_on)
-            .withColumn(out, F.coalesce(out, "_from_before"))
-            .drop("_from_before")
+            handed.withColumn(out, F.coalesce(out, "_from_before")).drop("_from_before")
         )
 
     def running_sum(self, value: Column, out: str, ties: str | None = None) -> Lane:
@@ -130,6 +132,16 @@ class Lane:
             .drop("_sum_before", "_tie_extra", "_last")
         )
 
+    def _hand_on(self, value: Column) -> DataFrame:
+        """Adds ``_from_before``: the last non-null ``value`` of the key's earlier chunks."""
+        position = F.struct(*self.order, value.alias("value"))
+        tails = self.df.groupBy(*self._by).agg(
+            F.max(F.when(value.isNotNull(), position)).alias("_tail")
+        )
+        before = self._chunks_of_key().rowsBetween(*BEFORE)
+        last = F.last(F.col("_tail.value"), ignorenulls=True).over(before)
+        return self._give(self.df, tails.select(*self._by, last.alias("_from_before")))
+
     def _chunks_of_key(self):
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
@@ -139,46 +151,62 @@ class Lane:
         return df.join(F.broadcast(handed_on), self._by)
 
 
-def hot_keys(df: DataFrame, keys: tuple[str, ...], skew: SkewPolicy) -> list:
-    """Keys with more than ``skew.max_rows`` rows, with their estimated row count."""
+def all_present(columns: tuple[str, ...] | list[str]) -> Column:
+    """No column is null, in the form that reaches the scan."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with more rows than one task should hold; at most rows / max_rows of them."""
+
+    columns: tuple[str, ...]
+    values: list[tuple]
+    rows: float = 0.0
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of other keys (null keys among them), and rows of hot keys if there are any."""
+        if not self.values:
+            return df, None
+        schema = df.select(*self.columns).schema
+        listed = F.broadcast(df.sparkSession.createDataFrame(self.values, schema))
+        on = [*self.columns]
+        return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
+
+
+def find_hot(df: DataFrame, columns: tuple[str, ...], skew: SkewPolicy) -> HotKeys:
+    """Counts keys on a sample. Runs at once, so pass the barest table that has the keys."""
     estimate = (F.count(F.lit(1)) / F.lit(skew.fraction)).alias("rows")
-    return (
-        df.select(*keys)
-        .dropna()
+    found = (
+        df.select(*columns)
+        .where(all_present(columns))
         .sample(skew.fraction, seed=7)
-        .groupBy(*keys)
+        .groupBy(*columns)
         .agg(estimate)
         .where(F.col("rows") > skew.max_rows)
         .collect()
     )
-
-
-def split_hot(
-    df: DataFrame, keys: tuple[str, ...], skew: SkewPolicy
-) -> tuple[DataFrame, DataFrame | None, float]:
-    """Rows of ordinary keys, rows of hot keys if there are any, and how many those are."""
-    hot = hot_keys(df, keys, skew)
-    if not hot:
-        return df, None, 0.0
-    # At most rows / max_rows keys, see hot_keys.
-    listed = F.broadcast(
-        df.sparkSession.createDataFrame(
-            [tuple(row[k] for k in keys) for row in hot], df.select(*keys).schema
-        )
+    return HotKeys(
+        columns, [tuple(row)[:-1] for row in found], sum(row["rows"] for row in found)
     )
-    cold_rows = df.join(listed, [*keys], "left_anti")
-    hot_rows = df.join(listed, [*keys], "left_semi")
-    return cold_rows, hot_rows, sum(row["rows"] for row in hot)
 
 
 def lanes(
-    df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], skew: SkewPolicy
+    df: DataFrame,
+    keys: tuple[str, ...],
+    order: tuple[str, ...],
+    skew: SkewPolicy,
+    hot: HotKeys | None = None,
 ) -> list[Lane]:
-    """One lane of whole keys, and a chunked one where some keys are hot."""
-    cold_rows, hot_rows, count = split_hot(df, keys, skew)
+    """One lane of whole keys, and a chunked one where some keys are hot.
+
+    ``hot`` may come from an earlier count, over some or all of the key columns.
+    """
+    hot = hot or find_hot(df, keys, skew)
+    cold_rows, hot_rows = hot.split(df)
     found = [Lane(cold_rows, keys, order)]
     if hot_rows is not None:
-        chunks = max(2, ceil(2 * count / skew.max_rows))
+        chunks = max(2, ceil(2 * hot.rows / skew.max_rows))
         sliced = range_chunks(hot_rows, [*keys, *order], chunks)
         found.append(Lane(sliced, keys, order, chunked=True))
     return found

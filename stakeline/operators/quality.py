@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stakeline.operators.lanes import merge, split_hot
+from stakeline.operators.lanes import HotKeys, all_present, find_hot, merge
 from stakeline.params import DEFAULT_SKEW, ESSENTIALS, SkewPolicy
 
 
@@ -20,7 +20,8 @@ def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def drop_null_essentials(df: DataFrame, columns: Iterable[str] = ESSENTIALS) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Rows with every essential column."""
+    return df.where(all_present(list(columns)))
 
 
 def null_report(df: DataFrame, columns: Iterable[str] = ESSENTIALS) -> DataFrame:
@@ -42,19 +43,23 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def duplicate_report(
-    df: DataFrame, keys: tuple[str, ...], skew: SkewPolicy = DEFAULT_SKEW
+    df: DataFrame,
+    keys: tuple[str, ...],
+    skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All rows whose key occurs more than once.
 
-    A key too large for one task is certainly repeated, so its rows need no counting.
+    Copies are counted by a window, except for hot keys: there counts are added up per task
+    first and joined back, which AQE can split. ``hot`` may cover some of the key columns.
     """
-    cold_rows, hot_rows, _ = split_hot(df, keys, skew)
-    repeated = (
-        cold_rows.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        .where(F.col("_copies") > 1)
-        .drop("_copies")
-    )
-    return repeated if hot_rows is None else merge([repeated, hot_rows])
+    cold_rows, hot_rows = (hot or find_hot(df, keys, skew)).split(df)
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    repeated = cold_rows.withColumn("_copies", copies).where("_copies > 1").drop("_copies")
+    if hot_rows is None:
+        return repeated
+    repeated_keys = hot_rows.groupBy(*keys).count().where("count > 1")
+    return merge([repeated, hot_rows.join(repeated_keys, [*keys], "left_semi")])
 
 
 def drilldown(df: DataFrame, customer: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stakeline.functions.codes import holds, matches_core_pattern
+from stakeline.operators.lanes import all_present
 from stakeline.params import ESSENTIALS
 
 
@@ -22,7 +23,4 @@ def route_types(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
 
 def route_complete(df: DataFrame, columns=ESSENTIALS) -> tuple[DataFrame, DataFrame]:
     """Rows with every essential column, and rows lacking one."""
-    complete = F.lit(True)
-    for name in columns:
-        complete = complete & F.col(name).isNotNull()
-    return route(df, complete)
+    return route(df, all_present(columns))

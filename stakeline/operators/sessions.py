@@ -57,18 +57,11 @@ def new_session_reason(gap: float) -> Column:
 
 
 def _with_previous(lane: Lane) -> Lane:
-    previous = F.struct("transaction_date", "csn_game_id")
-    seen = lane.last_before(previous, "_previous", every_row=True)
-    return seen.with_df(
-        seen.df.withColumns(
-            {
-                "anterior_data": F.col("_previous.transaction_date"),
-                "anterior_game_id": F.col("_previous.csn_game_id"),
-            }
-        )
-        .withColumn(GAP, seconds_between(F.col("anterior_data"), F.col("transaction_date")))
-        .drop("_previous")
+    seen = lane.previous(
+        {"anterior_data": "transaction_date", "anterior_game_id": "csn_game_id"}
     )
+    gap = seconds_between(F.col("anterior_data"), F.col("transaction_date"))
+    return seen.with_df(seen.df.withColumn(GAP, gap))
 
 
 def _flagged(lane: Lane, gap: float) -> Lane:
@@ -128,17 +121,12 @@ def number_sessions(
     of sessions of all smaller customer ids. The shift joins on the partitioning the rows
     already have.
     """
-    counted = [
-        _flagged(lane, gap).running_sum(
-            F.col("nova_sessao").cast("long"),
-            "_seq",
-            ties="transaction_date" if shared_ties else None,
-        )
-        for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew)
-    ]
-    customer = CUSTOMER[0]
+    customer, starts = CUSTOMER[0], F.col("nova_sessao").cast("long")
+    ties = "transaction_date" if shared_ties else None
+    flagged = [_flagged(lane, gap) for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew)]
+    counted = [lane.running_sum(starts, "_seq", ties) for lane in flagged]
     totals = merge(
-        [lane.df.groupBy(customer).agg(F.max("_seq").alias("_sessions")) for lane in counted]
+        [lane.df.groupBy(customer).agg(F.sum(starts).alias("_sessions")) for lane in flagged]
     )
     shift = key_offsets(totals, customer, "_sessions", "_shift")
     number = (F.col("_seq") + F.col("_shift") + F.lit(base)).alias(out)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stakeline.functions import codes
 from stakeline.functions.times import tz_shift, within
 from stakeline.operators.asof import asof_last
+from stakeline.operators.lanes import HotKeys, find_hot
 from stakeline.operators.quality import distinct_ids
 from stakeline.params import (
     DEFAULT_SKEW,
@@ -55,7 +56,10 @@ def only_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def bets_with_login(
-    bets: DataFrame, logins: DataFrame, skew: SkewPolicy = DEFAULT_SKEW
+    bets: DataFrame,
+    logins: DataFrame,
+    skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Adds the address of the customer's latest login at or before the bet."""
     tiebreak = "log_id" if "log_id" in logins.columns else None
@@ -69,6 +73,7 @@ def bets_with_login(
         "ip_address",
         tiebreak,
         skew,
+        hot,
     )
 
 
@@ -89,8 +94,11 @@ def bets_report(
         .join(customers.select("customer_id"), "customer_id")
         .join(customer_details.select("customer_id"), "customer_id")
     )
+    # Counted on the bare tables: the joined bets would be computed twice.
+    active = bets.select("customer_id").union(logins.select("customer_id"))
+    hot = find_hot(active, ("customer_id",), skew)
     status = F.col("status")
-    return bets_with_login(joined, logins, skew).select(
+    return bets_with_login(joined, logins, skew, hot).select(
         "customer_id",
         F.col(MASTER).alias("bet_master_id"),
         "ip_address",

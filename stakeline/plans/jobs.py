@@ -14,6 +14,7 @@ from stakeline.operators.enrich import (
     dim_lookup,
     fill_forward,
     fill_from_bets,
+    find_hot_histories,
     update_attributes,
 )
 from stakeline.operators.quality import require_columns, sort_transactions
@@ -70,7 +71,8 @@ def enrich_game_job(
     """Ledger rows of a window with game ids filled from bets, then from earlier rows."""
     rows = ledger.where(within(F.col("transaction_date"), ledger_window))
     extract = bets_extract(bets, games, categories, bets_window)
-    return fill_forward(fill_from_bets(rows, extract), skew)
+    hot = find_hot_histories(rows, skew)
+    return fill_forward(fill_from_bets(rows, extract), skew, hot)
 
 
 class SessionSummary(NamedTuple):

@@ -12,8 +12,8 @@ from stakeline.bindings import Tables, with_views
 from stakeline.functions import codes
 from stakeline.functions.times import parse_timestamp, tz_shift, within
 from stakeline.functions.values import convert, int_floor
-from stakeline.operators import enrich, quality, routing, sessions, sports, summary
-from stakeline.params import CORE_TYPES, WINS, SkewPolicy, TimeWindow
+from stakeline.operators import enrich, lanes, quality, routing, sessions, sports, summary
+from stakeline.params import CORE_TYPES, DEFAULT_SKEW, WINS, SkewPolicy, TimeWindow
 from stakeline.plans import jobs
 from stakeline.session import shared_dir, tune
 from stakeline.sources import schemas, sinks, tables
@@ -470,7 +470,8 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     rows = _frame(t, t.txn, LONG_GAP).select(TXN, "csn_customer_id", "sessionid")
-    return quality.duplicate_report(rows, ("csn_customer_id", "sessionid"))
+    hot = lanes.find_hot(t.txn, sessions.CUSTOMER, DEFAULT_SKEW)
+    return quality.duplicate_report(rows, ("csn_customer_id", "sessionid"), hot=hot)
 
 
 @query(
