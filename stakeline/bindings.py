@@ -11,7 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from stakeline.sources import schemas as S
 from stakeline.sources.tables import conform, read_table
 
-BASE_TABLES = ("events", "orders", "lineitem", "customer", "part", "nation")
+# Columns of the test tables the views read; naming them spares a look into the files.
+BASE_TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double,"
+    " props string",
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+    " l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_acctbal double",
+    "part": "p_partkey long, p_name string, p_size int",
+    "nation": "n_nationkey int, n_name string",
+}
 
 EVENT_ROWS = """SELECT event_id, user_id, event_type, value, ts,
  CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events"""
@@ -134,7 +145,8 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return read_table(self._spark, f"{self._folder}/{name}.parquet")
+            path = f"{self._folder}/{name}.parquet"
+            return read_table(self._spark, path, BASE_TABLES[name])
         if name not in VIEWS:
             raise AttributeError(name)
         sql, reads, schema = VIEWS[name]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeline.functions.times import seconds_between, within
-from stakeline.operators.lanes import BEFORE, CHUNK, Lane, lanes, merge, range_chunks
+from stakeline.operators.lanes import CHUNK, Lane, lanes, merge
 from stakeline.operators.quality import drop_null_essentials
 from stakeline.params import (
     DEFAULT_SKEW,
@@ -85,25 +85,28 @@ def flag_sessions(
     return merge([_flagged(lane, gap).rows() for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew)])
 
 
-def key_offsets(totals: DataFrame, key: str, total: str, out: str) -> DataFrame:
-    """Sum of ``total`` over all smaller keys, for one row per key.
+def running_total(df: DataFrame, key: str, value: str, out: str, bits=(20, 22)) -> DataFrame:
+    """Adds the running sum of ``value`` in key order, for a table of one row per integer key.
 
-    A running sum without PARTITION BY runs in a single task. Here the keys are cut into
-    contiguous slices, so only one row per slice meets in one task, whatever the ids look like.
+    A running sum without PARTITION BY runs in a single task. Here it runs inside buckets of
+    2^20 neighbouring ids, and the bucket sums are added up in the same way on two further
+    levels. No task ever holds more than 2^22 rows, however the ids are spread. All uses of a
+    level read the same shuffle, so the input is computed once.
     """
-    spark = totals.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = range_chunks(totals, [key], slices)
-    per_slice = sliced.groupBy(CHUNK).agg(F.sum(total).alias("_sum"))
-    before = Window.orderBy(CHUNK).rowsBetween(*BEFORE)
-    slice_start = per_slice.select(
-        CHUNK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start")
+    if not bits:
+        return df.withColumn(out, F.sum(value).over(Window.orderBy(key)))
+    bucket, start = f"_bucket{len(bits)}", f"_start{len(bits)}"
+    # Never null: the join then adds no null filter below the shuffle, and its two sides keep
+    # reading the same one.
+    number = F.coalesce(F.shiftright(key, bits[0]), F.lit(0))
+    inside = df.withColumn(bucket, number).withColumn(
+        "_inside", F.sum(value).over(Window.partitionBy(bucket).orderBy(key))
     )
-    within_slice = Window.partitionBy(CHUNK).orderBy(key).rowsBetween(*BEFORE)
-    # slice_start has one row per shuffle partition.
-    return sliced.join(F.broadcast(slice_start), CHUNK).select(
-        key,
-        (F.col("_start") + F.coalesce(F.sum(total).over(within_slice), F.lit(0))).alias(out),
+    sums = inside.groupBy(bucket).agg(F.max("_inside").alias("_sum"))
+    ends = running_total(sums, bucket, "_sum", "_end", bits[1:])
+    starts = ends.select(bucket, (F.col("_end") - F.col("_sum")).alias(start))
+    return inside.join(starts, bucket).select(
+        *df.columns, (F.col(start) + F.col("_inside")).alias(out)
     )
 
 
@@ -128,7 +131,9 @@ def number_sessions(
     totals = merge(
         [lane.df.groupBy(customer).agg(F.sum(starts).alias("_sessions")) for lane in flagged]
     )
-    shift = key_offsets(totals, customer, "_sessions", "_shift")
+    shift = running_total(totals, customer, "_sessions", "_upto").select(
+        customer, (F.col("_upto") - F.col("_sessions")).alias("_shift")
+    )
     number = (F.col("_seq") + F.col("_shift") + F.lit(base)).alias(out)
     return merge(
         [

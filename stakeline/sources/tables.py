@@ -12,7 +12,7 @@ from stakeline.params import FIRST_SESSION_ID, TimeWindow
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema else reader).load(path)
