@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeline.params import SkewPolicy
-from stakeline.session import shared_dir
+from stakeline.sources.sinks import stage_table
 
 CHUNK = "_chunk"
 BEFORE = (Window.unboundedPreceding, -1)
@@ -27,12 +27,12 @@ BEFORE = (Window.unboundedPreceding, -1)
 def range_chunks(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
     """Adds the number of the contiguous slice of the sort order a row lies in.
 
-    The slice bounds come from a sample, so a second evaluation could cut elsewhere. The
-    checkpoint pins them for all later readers, and for retries after a lost executor.
+    The slice bounds come from a sample, so a second evaluation could cut elsewhere. Writing
+    the rows to the shared folder pins the numbers for all later readers and for retries after
+    a lost executor, and lets each reader fetch only its columns.
     """
-    shared_dir(df.sparkSession)
     sliced = df.repartitionByRange(chunks, *order).withColumn(CHUNK, F.spark_partition_id())
-    return sliced.checkpoint()
+    return stage_table(sliced, "chunks")
 
 
 @dataclass(frozen=True)

@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+from ledger import at, ledger
+
+from stakeline.operators import sessions
+from stakeline.params import TimeWindow
+from stakeline.sources.tables import high_water_mark
+
+DAY = TimeWindow.of("2024-10-07 06:00:00", "2024-10-08 05:59:59")
+
+
+def run(spark, rows, **options):
+    """Function result by transaction id."""
+    df = sessions.process_sessions(ledger(spark, rows), DAY, **options)
+    return {r.transaction_id: r for r in df.collect()}
+
+
+def test_first_row(spark):
+    row = run(spark, [(1, 1, "10:00:00", 1, 1, 5)])[1]
+    assert row.nova_sessao and row.motivo_nova_sessao == "Data anterior vazia"
+    assert row.id_sessao == 1
+    assert row.dif_data_atual_com_anterior is None
+    assert row.anterior_data is None and row.anterior_game_id is None
+
+
+def test_gap_is_strict(spark):
+    got = run(spark, [(1, 1, "10:00:00", 1, 1, 5), (2, 1, "10:20:00", 1, 1, 5)])
+    assert not got[2].nova_sessao and got[2].id_sessao == 1
+    assert got[2].dif_data_atual_com_anterior == 1200.0
+    assert got[2].motivo_nova_sessao == "-"
+    got = run(spark, [(1, 1, "10:00:00", 1, 1, 5), (2, 1, "10:20:00.000001", 1, 1, 5)])
+    assert got[2].nova_sessao and got[2].motivo_nova_sessao == "Passou 20 minutos"
+    assert got[2].dif_data_atual_com_anterior == 1200.000001
+
+
+def test_game_change(spark):
+    got = run(spark, [(1, 1, "10:00:00", 1, 1, 1), (2, 1, "10:01:00", 1, 1, 2)])
+    assert got[2].motivo_nova_sessao == "Mudou de jogo" and got[2].id_sessao == 2
+    got = run(spark, [(1, 1, "10:00:00", 1, 1, 1), (2, 1, "10:30:00", 1, 1, 2)])
+    assert got[2].motivo_nova_sessao == "Passou 20 minutos, mas mudou de jogo"
+    assert (got[2].anterior_game_id, got[2].anterior_data) == (1, at("10:00:00"))
+
+
+def test_returning_to_a_game_is_a_third_session(spark):
+    rows = [(i, 1, f"10:0{i}:00", 1, 1, game) for i, game in ((1, 1), (2, 2), (3, 1))]
+    assert [run(spark, rows)[i].id_sessao for i in (1, 2, 3)] == [1, 2, 3]
+
+
+def test_ties_share_or_count(spark):
+    rows = [(1, 1, "10:00:00", 1, 1, 1), (2, 1, "10:00:00", 1, 1, 2), (3, 1, "10:01:00", 1, 1, 2)]
+    assert [run(spark, rows)[i].id_sessao for i in (1, 2, 3)] == [2, 2, 2]
+    frame = sessions.frame_sessions(ledger(spark, rows), DAY, 100)
+    ids = {r.customer_transaction_id: r.sessionid for r in frame.collect()}
+    assert ids == {1: 101, 2: 102, 3: 102}
+
+
+def test_customers_are_numbered_in_order(spark):
+    rows = [
+        (1, 9, "10:00:00", 1, 1, 1),
+        (2, 9, "11:00:00", 1, 1, 1),
+        (3, 2, "12:00:00", 1, 1, 1),
+        (4, 5_000_000_000_000_000, "09:00:00", 1, 1, 1),
+        (5, -3, "09:00:00", 1, 1, 1),
+        (6, 70_000_000, "09:00:00", 1, 1, 1),
+    ]
+    got = run(spark, rows)
+    assert {i: got[i].id_sessao for i in got} == {5: 1, 3: 2, 1: 3, 2: 4, 6: 5, 4: 6}
+
+
+def test_incomplete_rows_are_dropped_before_the_lag(spark):
+    rows = [
+        (1, 1, "10:00:00", 1, 1, 5),
+        (2, 1, "10:10:00", 1, 1, None),
+        (3, 1, "10:25:00", 1, 1, 5),
+        (4, None, "10:00:00", 1, 1, 5),
+        (5, 1, None, 1, 1, 5),
+    ]
+    got = run(spark, rows)
+    assert set(got) == {1, 3}
+    assert got[3].anterior_data == at("10:00:00") and got[3].nova_sessao
+
+
+def test_window_ends(spark):
+    rows = [
+        (1, 1, at("06:00:00"), 1, 1, 5),
+        (2, 1, at("05:59:59").replace(day=8), 1, 1, 5),
+        (3, 1, at("05:59:59.5").replace(day=8), 1, 1, 5),
+        (4, 1, at("05:59:59"), 1, 1, 5),
+    ]
+    assert set(run(spark, rows)) == {1, 2}
+
+
+def test_gap_parameter(spark):
+    rows = [(1, 1, "10:00:00", 1, 1, 5), (2, 1, "10:20:00", 1, 1, 5)]
+    assert run(spark, rows, gap=60)[2].nova_sessao
+
+
+def test_all_types_count_for_the_frame_gap(spark):
+    rows = [
+        (1, 1, "10:00:00", 1, 1, 5),
+        (2, 1, "10:15:00", 3, 1, 5),
+        (3, 1, "10:30:00", None, 1, 5),
+    ]
+    frame = sessions.frame_sessions(ledger(spark, rows), DAY, 0)
+    assert {r.sessionid for r in frame.collect()} == {1}
+
+
+def test_gap_does_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    # Clocks went forward in New York between these two times.
+    rows = [
+        (1, 1, at("01:30:00").replace(month=3, day=10), 1, 1, 5),
+        (2, 1, at("02:30:00").replace(month=3, day=10), 1, 1, 5),
+        (3, 1, at("03:30:00").replace(month=3, day=10), 1, 1, 5),
+    ]
+    window = TimeWindow.of("2024-03-10 00:00:00", "2024-03-10 23:59:59")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = sessions.process_sessions(ledger(spark, rows), window)
+        gaps = {r.transaction_id: r.dif_data_atual_com_anterior for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert gaps == {1: None, 2: 3600.0, 3: 3600.0}
+
+
+def test_high_water_mark(spark):
+    empty = spark.createDataFrame([], "sessionid long")
+    stored = spark.createDataFrame([(3,), (10,)], "sessionid long")
+    assert high_water_mark(None) == 23888517
+    assert high_water_mark(empty) == 23888517
+    assert high_water_mark(stored) == 11
+    rows = ledger(spark, [(1, 1, "10:00:00", 1, 1, 5)])
+    for table, first in ((None, 23888518), (stored, 12)):
+        frame = sessions.frame_sessions(rows, DAY, high_water_mark(table))
+        assert frame.first().sessionid == first
