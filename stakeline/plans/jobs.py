@@ -50,8 +50,14 @@ class OnlineGames(NamedTuple):
 def online_games_job(
     view: DataFrame, window: TimeWindow, limit: int | None = None
 ) -> OnlineGames:
-    """Scan a window, conform, split off other types, then incomplete rows; sort the rest."""
-    rows = conform(scan_view(view, window, limit), LEDGER_VIEW).withColumn(
+    """Scan a window, conform, split off other types, then incomplete rows; sort the rest.
+
+    A capped scan is stored first: its rows are arbitrary, and all outputs must see the same.
+    """
+    scanned = scan_view(view, window, limit)
+    if limit is not None:
+        scanned = stage_table(scanned, "capped_scan")
+    rows = conform(scanned, LEDGER_VIEW).withColumn(
         TREATED_TYPE, int_floor(F.col("csn_cust_transaction_type_id"))
     )
     core, other = route_types(rows, TREATED_TYPE)
