@@ -34,16 +34,16 @@ TIED_EVENT_ROWS = """SELECT event_id, user_id, event_type, value, date_trunc('da
  FROM event_rows"""
 
 TXN = """SELECT event_id AS customer_transaction_id, user_id AS csn_customer_id, ts AS transaction_date,
- CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 8 WHEN 'signup' THEN 15
-  ELSE CASE WHEN event_id % 2 = 0 THEN 3 END END AS csn_cust_transaction_type_id,
+ CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 8 WHEN 'signup' THEN 15
+  ELSE CASE WHEN event_id % 2 = 0 THEN 3 END END AS BIGINT) AS csn_cust_transaction_type_id,
  CASE WHEN k % 10 = 0 THEN NULL WHEN k % 4 = 0 THEN CAST(0 AS DECIMAL(18,2))
   ELSE CAST(value AS DECIMAL(18,2)) END AS amount_from_balance,
- CASE WHEN k % 10 = 7 THEN NULL ELSE k % 3 END AS csn_game_id,
+ CAST(CASE WHEN k % 10 = 7 THEN NULL ELSE k % 3 END AS BIGINT) AS csn_game_id,
  CAST(user_id AS VARCHAR(20)) AS customer_code, event_type AS tipo_name,
  CASE WHEN k % 10 = 7 THEN NULL ELSE concat('game-', CAST(k % 3 AS VARCHAR(4))) END AS game_name,
  CAST(value AS DECIMAL(18,2)) AS current_balance, ts + INTERVAL '1' DAY AS etl_date FROM {rows}"""
 
-BETS = """SELECT user_id AS customer_id, k AS csn_game_id,
+BETS = """SELECT user_id AS customer_id, CAST(k AS BIGINT) AS csn_game_id,
  CASE WHEN event_type = 'click' AND event_id % 2 = 0 THEN ts ELSE ts - INTERVAL '1' SECOND END AS played_date,
  CASE WHEN event_id % 4 = 0 THEN ts ELSE ts + INTERVAL '1' SECOND END AS update_date FROM {rows}"""
 
@@ -71,12 +71,12 @@ VIEWS = {
     "casino_customer_bets_hot": (BETS.format(rows="event_rows_hot"), ("event_rows_hot",), S.BETS),
     "csn_games": (
         "SELECT p_partkey AS csn_game_id, p_name AS vendor_game_name,"
-        " p_size AS csn_category_id FROM part",
+        " CAST(p_size AS BIGINT) AS csn_category_id FROM part",
         ("part",),
         S.GAMES,
     ),
     "csn_categories": (
-        "SELECT n_nationkey AS category_id, n_name AS category_name FROM nation",
+        "SELECT CAST(n_nationkey AS BIGINT) AS category_id, n_name AS category_name FROM nation",
         ("nation",),
         S.CATEGORIES,
     ),

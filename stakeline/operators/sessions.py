@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeline.functions.times import seconds_between, within
-from stakeline.operators.lanes import CHUNK, Lane, lanes, merge
+from stakeline.operators.lanes import CHUNK, HotKeys, Lane, lanes, merge
 from stakeline.operators.quality import drop_null_essentials
 from stakeline.params import (
     DEFAULT_SKEW,
@@ -117,6 +117,7 @@ def number_sessions(
     shared_ties: bool = True,
     base: int = 0,
     skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Flags sessions and numbers them over all customers, first id ``base`` + 1.
 
@@ -126,7 +127,7 @@ def number_sessions(
     """
     customer, starts = CUSTOMER[0], F.col("nova_sessao").cast("long")
     ties = "transaction_date" if shared_ties else None
-    flagged = [_flagged(lane, gap) for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew)]
+    flagged = [_flagged(lane, gap) for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew, hot)]
     counted = [lane.running_sum(starts, "_seq", ties) for lane in flagged]
     totals = merge(
         [lane.df.groupBy(customer).agg(F.sum(starts).alias("_sessions")) for lane in flagged]
@@ -150,10 +151,12 @@ def process_sessions(
     window: TimeWindow,
     gap: float = SESSION_GAP_SECONDS,
     skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Session table function: bounded, complete rows with lag columns, flag, reason and id.
 
-    Sessions are cut at the window's ends.
+    Sessions are cut at the window's ends. ``hot`` names customers known to be too large for a
+    task, such as those found by an earlier run; without it they are looked for.
     """
     typed = drop_null_essentials(view.where(within(F.col("transaction_date"), window))).select(
         F.col("customer_transaction_id").cast("long").alias("customer_transaction_id"),
@@ -163,7 +166,7 @@ def process_sessions(
         F.col("tipo_name").cast("string").alias("tipo_name"),
         F.col("csn_game_id").cast("long").alias("csn_game_id"),
     )
-    return number_sessions(typed, "id_sessao", gap, skew=skew).select(
+    return number_sessions(typed, "id_sessao", gap, skew=skew, hot=hot).select(
         F.col("customer_transaction_id").alias("transaction_id"),
         "csn_customer_id",
         "transaction_date",
@@ -206,6 +209,7 @@ def frame_sessions(
     start_id: int = FIRST_SESSION_ID,
     gap: float = SESSION_GAP_SECONDS,
     skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Ledger rows with ``sessionid`` by the row rule; the first id is ``start_id`` + 1.
 
@@ -220,5 +224,5 @@ def frame_sessions(
         "csn_cust_transaction_type_id",
         "current_balance",
     )
-    numbered = number_sessions(rows, "sessionid", gap, shared_ties=False, base=start_id, skew=skew)
+    numbered = number_sessions(rows, "sessionid", gap, False, start_id, skew, hot)
     return numbered.select(*rows.columns, "nova_sessao", "sessionid")

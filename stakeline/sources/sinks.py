@@ -84,10 +84,13 @@ def stage_view(df: DataFrame, name: str) -> DataFrame:
 def stage_table(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Drop and recreate a stored result and read it back.
 
-    Without a folder it goes to a fresh one in the cluster's shared checkpoint folder.
+    Without a folder it goes to a fresh one under the application's id in the cluster's shared
+    checkpoint folder, which can be removed once the application has ended.
     """
     spark = df.sparkSession
-    path = f"{folder or f'{shared_dir(spark)}/staged-{uuid4().hex}'}/{name}"
+    if folder is None:
+        folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid4().hex}"
+    path = f"{folder}/{name}"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

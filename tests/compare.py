@@ -10,6 +10,16 @@ from pathlib import Path
 import duckdb
 
 
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(Path(folder).glob("*.parquet")):
@@ -36,6 +46,10 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], Counter]:
 
 def difference(df, con, sql: str) -> str | None:
     """None where both agree, else a short description."""
+    types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    got_types = {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes}
+    if got_types != types:
+        return f"types {got_types} != {types}"
     cursor = con.execute(sql)
     names, want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     got_names, got = rows_of(df.columns, df.collect())
