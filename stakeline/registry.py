@@ -77,10 +77,10 @@ def _(t: Tables) -> DataFrame:
     return tables.scan_view(t.txn, ALL, limit=100)
 
 
-_BETS_EXTRACT = f"""SELECT b.customer_id, b.csn_game_id, b.played_date, b.update_date, g.vendor_game_name,
- g.csn_category_id, c.category_name AS csn_category_name FROM casino_customer_bets b
- JOIN csn_games g ON b.csn_game_id = g.csn_game_id
- JOIN csn_categories c ON g.csn_category_id = c.category_id WHERE {_range("b.played_date", ALL)}"""
+_BETS_EXTRACT = f"""SELECT customer_id, csn_game_id, played_date, update_date, vendor_game_name,
+ csn_category_id, category_name AS csn_category_name FROM casino_customer_bets
+ JOIN (SELECT * FROM csn_games, csn_categories WHERE csn_category_id = category_id) AS named_games
+ USING (csn_game_id) WHERE {_range("played_date", ALL)}"""
 
 
 def _bets(t: Tables, hot: bool = False) -> DataFrame:
@@ -343,20 +343,21 @@ def _session_steps(view: str, window: TimeWindow = ALL, gap: int = 1200) -> dict
  FROM base WINDOW w AS (PARTITION BY csn_customer_id ORDER BY transaction_date, customer_transaction_id)""",
         "gaps": "SELECT *, date_diff('microsecond', anterior_data, transaction_date) / 1e6"
         " AS dif_data_atual_com_anterior FROM lagged",
-        "flagged": f"""SELECT *, CASE WHEN anterior_data IS NULL THEN TRUE WHEN dif_data_atual_com_anterior > {gap} THEN TRUE
- WHEN csn_game_id <> anterior_game_id THEN TRUE ELSE FALSE END AS nova_sessao,
- CASE WHEN anterior_data IS NULL THEN 'Data anterior vazia'
- WHEN dif_data_atual_com_anterior > {gap} AND csn_game_id <> anterior_game_id THEN 'Passou 20 minutos, mas mudou de jogo'
- WHEN dif_data_atual_com_anterior > {gap} THEN 'Passou 20 minutos'
- WHEN csn_game_id <> anterior_game_id THEN 'Mudou de jogo' ELSE '-' END AS motivo_nova_sessao FROM gaps""",
+        "tests": f"""SELECT *, anterior_data IS NULL AS is_first,
+ coalesce(dif_data_atual_com_anterior > {gap}, FALSE) AS is_late,
+ coalesce(csn_game_id <> anterior_game_id, FALSE) AS is_other_game FROM gaps""",
+        "flagged": """SELECT *, is_first OR is_late OR is_other_game AS nova_sessao,
+ CASE WHEN is_first THEN 'Data anterior vazia' WHEN is_late THEN
+  concat('Passou 20 minutos', CASE WHEN is_other_game THEN ', mas mudou de jogo' ELSE '' END)
+ WHEN is_other_game THEN 'Mudou de jogo' ELSE '-' END AS motivo_nova_sessao FROM tests""",
     }
 
 
 def _shared_ids(view: str, window: TimeWindow = ALL, gap: int = 1200) -> dict[str, str]:
     return {
         **_session_steps(view, window, gap),
-        "numbered": "SELECT *, CAST(sum(CASE WHEN nova_sessao THEN 1 ELSE 0 END) OVER"
-        " (ORDER BY csn_customer_id, transaction_date) AS BIGINT) AS id_sessao FROM flagged",
+        "numbered": "SELECT *, count(*) FILTER (WHERE nova_sessao) OVER"
+        " (ORDER BY csn_customer_id, transaction_date) AS id_sessao FROM flagged",
     }
 
 
@@ -366,9 +367,9 @@ _START = "(SELECT max(sessionid) + 1 FROM session_summary_existing)"
 def _row_ids(view: str, window: TimeWindow = ALL, gap: int = 1200) -> dict[str, str]:
     return {
         **_session_steps(view, window, gap),
-        "numbered": "SELECT *, CAST(sum(CASE WHEN nova_sessao THEN 1 ELSE 0 END) OVER"
+        "numbered": "SELECT *, count(*) FILTER (WHERE nova_sessao) OVER"
         " (ORDER BY csn_customer_id, transaction_date, customer_transaction_id ROWS UNBOUNDED PRECEDING)"
-        f" AS BIGINT) + {_START} AS sessionid FROM flagged",
+        f" + {_START} AS sessionid FROM flagged",
     }
 
 
@@ -640,9 +641,9 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-_GAME_INFO = """SELECT DISTINCT g.csn_game_id, c.category_name AS game_category, g.vendor_game_name AS vendor_name
- FROM csn_games g LEFT JOIN csn_categories c ON g.csn_category_id = c.category_id
- WHERE g.csn_game_id IN (SELECT csn_game_id FROM session_summary_existing WHERE csn_game_id IS NOT NULL)"""
+_GAME_INFO = """SELECT csn_game_id, (SELECT max(category_name) FROM csn_categories
+  WHERE category_id = csn_category_id) AS game_category, vendor_game_name AS vendor_name
+ FROM csn_games SEMI JOIN session_summary_existing USING (csn_game_id)"""
 
 
 @query("dim_lookup", _GAME_INFO)
@@ -687,12 +688,11 @@ def _(t: Tables) -> DataFrame:
 
 
 def _ids_sql(window: TimeWindow) -> str:
-    return f"""SELECT DISTINCT cts.sport_bet_master_id FROM customer_transactions_sb cts
- JOIN customer_transaction_details ctd ON cts.customer_transaction_id = ctd.customer_transaction_id
- JOIN sport_bet_masters sbm ON cts.sport_bet_master_id = sbm.sport_bet_master_id
- JOIN sport_selection ss ON sbm.sport_bet_master_id = ss.sport_bet_master_id
- WHERE cts.sport_bet_master_id IS NOT NULL
- AND {_range("ctd.transaction_date - INTERVAL '6' HOUR", window)}"""
+    return f"""SELECT sport_bet_master_id FROM customer_transactions_sb
+  WHERE customer_transaction_id IN (SELECT customer_transaction_id FROM customer_transaction_details
+   WHERE {_range("transaction_date - INTERVAL '6' HOUR", window)})
+ INTERSECT SELECT sport_bet_master_id FROM sport_bet_masters
+ INTERSECT SELECT sport_bet_master_id FROM sport_selection"""
 
 
 def _ids(t: Tables, window: TimeWindow) -> DataFrame:
@@ -711,9 +711,9 @@ def _(t: Tables) -> DataFrame:
 
 
 def _login_sql(bets: str, logins: str) -> str:
-    return f"""SELECT sob.sport_bet_master_id, (SELECT cll.ip FROM {logins} cll
- WHERE cll.customer_id = sob.customer_id AND cll.date_time <= sob.create_user_date
- ORDER BY cll.date_time DESC, cll.log_id DESC LIMIT 1) AS ip_address FROM {bets} sob"""
+    return f"""SELECT sport_bet_master_id, (SELECT ip FROM {logins} AS seen
+ WHERE seen.customer_id = made.customer_id AND seen.date_time <= made.create_user_date
+ ORDER BY seen.date_time DESC, seen.log_id DESC LIMIT 1) AS ip_address FROM {bets} AS made"""
 
 
 @query("asof_login_ip", _login_sql("sport_bets", "customer_login_logs"))
@@ -732,19 +732,16 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "bets_report",
-    """SELECT ct.customer_id, sob.sport_bet_master_id AS bet_master_id, logged.ip_address,
- CASE WHEN sob.total_play = 1 THEN '1' ELSE '2' END AS bet_type,
- CASE sob.status WHEN 'O' THEN '1' WHEN 'W' THEN '2' WHEN 'L' THEN '3' WHEN 'V' THEN '3' WHEN 'C' THEN '2'
-  ELSE '2' END AS bet_status,
- CAST(sob.bet_rate AS DOUBLE) AS fixed_odds, CAST(sbm.initial_played_amount AS DOUBLE) AS bet_amount,
- CAST(sob.return_amount AS DOUBLE) AS return_amount, coalesce(sob.status = 'C', FALSE) AS is_cashout,
- coalesce(sbm.is_system_bet = 1, FALSE) AS is_system_bet,
- sob.create_user_date - INTERVAL '3' HOUR AS bet_timestamp, sob.update_date - INTERVAL '3' HOUR AS update_timestamp
- FROM sport_bets sob JOIN sport_bet_masters sbm ON sob.sport_bet_master_id = sbm.sport_bet_master_id
- JOIN customers_tdt ct ON sob.customer_id = ct.customer_id
- JOIN customer_details_tdt cdt ON ct.customer_id = cdt.customer_id
- JOIN logged ON logged.sport_bet_master_id = sob.sport_bet_master_id
- WHERE sob.sport_bet_master_id IN (SELECT sport_bet_master_id FROM ids)""",
+    """SELECT customer_id, sport_bet_master_id AS bet_master_id, ip_address,
+ if(total_play = 1, '1', '2') AS bet_type,
+ coalesce(map {'O': '1', 'W': '2', 'L': '3', 'V': '3', 'C': '2'}[status], '2') AS bet_status,
+ CAST(bet_rate AS DOUBLE) AS fixed_odds, CAST(initial_played_amount AS DOUBLE) AS bet_amount,
+ CAST(return_amount AS DOUBLE) AS return_amount, status IS NOT DISTINCT FROM 'C' AS is_cashout,
+ is_system_bet IS NOT DISTINCT FROM 1 AS is_system_bet,
+ create_user_date - INTERVAL '3' HOUR AS bet_timestamp, update_date - INTERVAL '3' HOUR AS update_timestamp
+ FROM sport_bets JOIN sport_bet_masters USING (sport_bet_master_id) JOIN logged USING (sport_bet_master_id)
+ JOIN ids USING (sport_bet_master_id) JOIN customers_tdt USING (customer_id)
+ JOIN customer_details_tdt USING (customer_id)""",
     {"ids": _ids_sql(ORDERS), "logged": _login_sql("sport_bets", "customer_login_logs")},
 )
 def _(t: Tables) -> DataFrame:
@@ -763,9 +760,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "events_report",
     """SELECT fixture_id AS event_id, sport_type_id AS sport_code, league_name AS competition,
- fixture_information AS event_name, CASE WHEN status = 'O' THEN '4' ELSE '5' END AS event_status,
- fixture_start_date AS event_start_date FROM sport_selection
- WHERE sport_bet_master_id IN (SELECT sport_bet_master_id FROM ids)""",
+ fixture_information AS event_name, if(status = 'O', '4', '5') AS event_status,
+ fixture_start_date AS event_start_date FROM sport_selection SEMI JOIN ids USING (sport_bet_master_id)""",
     {"ids": _ids_sql(ORDERS)},
 )
 def _(t: Tables) -> DataFrame:
@@ -774,9 +770,9 @@ def _(t: Tables) -> DataFrame:
 
 _MARKETS = """SELECT sport_bet_detail_id AS market_id, fixture_id AS event_id, sport_bet_master_id AS bet_master_id,
  bet_type_name AS market_name, '1' AS market_type, CAST(played_odd AS DOUBLE) AS fixed_odds_market,
- CAST(played_amount AS DOUBLE) AS market_value, CASE status WHEN 'O' THEN 'PENDING' WHEN 'C' THEN 'CASHOUT'
- WHEN 'W' THEN 'WON' WHEN 'L' THEN 'LOST' WHEN 'V' THEN 'CANCELLED' ELSE 'SUSPENDED' END AS market_result
- FROM sport_selection WHERE sport_bet_master_id IN (SELECT sport_bet_master_id FROM ids)"""
+ CAST(played_amount AS DOUBLE) AS market_value, coalesce(map {'O': 'PENDING', 'C': 'CASHOUT', 'W': 'WON',
+ 'L': 'LOST', 'V': 'CANCELLED'}[status], 'SUSPENDED') AS market_result
+ FROM sport_selection SEMI JOIN ids USING (sport_bet_master_id)"""
 
 
 @query("markets_report", _MARKETS, {"ids": _ids_sql(ORDERS)})

@@ -28,10 +28,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, bool) or value is None:
-        return value
-    if isinstance(value, float):
-        return None if math.isnan(value) else value
+    if isinstance(value, float) and math.isnan(value):
+        raise ValueError("NaN in output; missing numbers must be null")
     if isinstance(value, Decimal):
         raise TypeError("decimal in output")
     return value
