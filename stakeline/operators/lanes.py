@@ -132,6 +132,14 @@ class Lane:
             .drop("_sum_before", "_tie_extra", "_last")
         )
 
+    def attach(self, per_key: DataFrame) -> Lane:
+        """Joins a table of one row per key."""
+        if self.chunked:
+            # Chunked rows stay where they are: one row per hot key is sent to them.
+            own = F.broadcast(self.df.select(*self.keys).distinct())
+            per_key = F.broadcast(per_key.join(own, [*self.keys], "left_semi"))
+        return self.with_df(self.df.join(per_key, [*self.keys]))
+
     def _hand_on(self, value: Column) -> DataFrame:
         """Adds ``_from_before``: the last non-null ``value`` of the key's earlier chunks."""
         position = F.struct(*self.order, value.alias("value"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeline.functions.times import seconds_between, within
-from stakeline.operators.lanes import CHUNK, HotKeys, Lane, lanes, merge
+from stakeline.operators.lanes import HotKeys, Lane, lanes, merge
 from stakeline.operators.quality import drop_null_essentials
 from stakeline.params import (
     DEFAULT_SKEW,
@@ -26,6 +26,8 @@ CUSTOMER = ("csn_customer_id",)
 TIME_ORDER = ("transaction_date", "customer_transaction_id")
 
 GAP = "dif_data_atual_com_anterior"
+LOCAL = "customer_session"
+SHIFT = "_shift"
 
 # Reasons for a new session.
 FIRST_ROW = "Data anterior vazia"
@@ -110,6 +112,30 @@ def running_total(df: DataFrame, key: str, value: str, out: str, bits=(20, 22))
     )
 
 
+def count_up(lane: Lane, shared_ties: bool) -> Lane:
+    """Numbers the flagged sessions of each customer from 1, as ``customer_session``."""
+    starts = F.col("nova_sessao").cast("long")
+    return lane.running_sum(starts, LOCAL, "transaction_date" if shared_ties else None)
+
+
+def customer_shift(totals: DataFrame, total: str) -> DataFrame:
+    """Number of sessions of all smaller customer ids, from the number per customer."""
+    upto = running_total(totals, CUSTOMER[0], total, "_upto")
+    return upto.select(*CUSTOMER, (F.col("_upto") - F.col(total)).alias(SHIFT))
+
+
+def shifted(df: DataFrame, out: str, base: int) -> DataFrame:
+    """Turns the customer's own numbers into numbers over all customers, above ``base``."""
+    number = F.col(LOCAL) + F.col(SHIFT) + F.lit(base)
+    return df.withColumn(out, number).drop(LOCAL, SHIFT)
+
+
+def flagged_lanes(
+    txn: DataFrame, gap: float, skew: SkewPolicy, hot: HotKeys | None = None
+) -> list[Lane]:
+    return [_flagged(lane, gap) for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew, hot)]
+
+
 def number_sessions(
     txn: DataFrame,
     out: str,
@@ -125,23 +151,14 @@ def number_sessions(
     of sessions of all smaller customer ids. The shift joins on the partitioning the rows
     already have.
     """
-    customer, starts = CUSTOMER[0], F.col("nova_sessao").cast("long")
-    ties = "transaction_date" if shared_ties else None
-    flagged = [_flagged(lane, gap) for lane in lanes(txn, CUSTOMER, TIME_ORDER, skew, hot)]
-    counted = [lane.running_sum(starts, "_seq", ties) for lane in flagged]
-    totals = merge(
-        [lane.df.groupBy(customer).agg(F.sum(starts).alias("_sessions")) for lane in flagged]
-    )
-    shift = running_total(totals, customer, "_sessions", "_upto").select(
-        customer, (F.col("_upto") - F.col("_sessions")).alias("_shift")
-    )
-    number = (F.col("_seq") + F.col("_shift") + F.lit(base)).alias(out)
+    flagged = flagged_lanes(txn, gap, skew, hot)
+    sessions = F.sum(F.col("nova_sessao").cast("long")).alias("_sessions")
+    totals = merge([lane.df.groupBy(*CUSTOMER).agg(sessions) for lane in flagged])
+    shift = customer_shift(totals, "_sessions")
     return merge(
         [
-            lane.df.join(shift, customer).select(
-                *[c for c in lane.df.columns if c not in ("_seq", CHUNK)], number
-            )
-            for lane in counted
+            shifted(count_up(lane, shared_ties).attach(shift).rows(), out, base)
+            for lane in flagged
         ]
     )
 
@@ -203,6 +220,20 @@ def session_table(
     )
 
 
+def ledger_rows(ledger: DataFrame, window: TimeWindow) -> DataFrame:
+    """Complete ledger rows of the window with the columns the summary needs."""
+    bounded = ledger.where(within(F.col("transaction_date"), window))
+    return drop_null_essentials(bounded).select(
+        "customer_transaction_id",
+        "csn_customer_id",
+        "amount_from_balance",
+        "transaction_date",
+        "csn_game_id",
+        "csn_cust_transaction_type_id",
+        "current_balance",
+    )
+
+
 def frame_sessions(
     ledger: DataFrame,
     window: TimeWindow,
@@ -215,14 +246,6 @@ def frame_sessions(
 
     All transaction types take part in the gap test.
     """
-    rows = drop_null_essentials(ledger.where(within(F.col("transaction_date"), window))).select(
-        "customer_transaction_id",
-        "csn_customer_id",
-        "amount_from_balance",
-        "transaction_date",
-        "csn_game_id",
-        "csn_cust_transaction_type_id",
-        "current_balance",
-    )
+    rows = ledger_rows(ledger, window)
     numbered = number_sessions(rows, "sessionid", gap, False, start_id, skew, hot)
     return numbered.select(*rows.columns, "nova_sessao", "sessionid")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,8 +58,10 @@ def with_masked_amounts(df: DataFrame) -> DataFrame:
     )
 
 
-def session_summary(rows: DataFrame, rewards: bool = True) -> DataFrame:
-    """Counts, money and time bounds per session; money stays decimal.
+def session_summary(
+    rows: DataFrame, rewards: bool = True, session: str = "sessionid"
+) -> DataFrame:
+    """Counts, money and time bounds per customer, session and game; money stays decimal.
 
     Grouping starts with the customer, so rows still partitioned by customer are not shuffled
     again. ``rewards`` adds the JSON list of paid reward ids in time order.
@@ -67,7 +71,11 @@ def session_summary(rows: DataFrame, rewards: bool = True) -> DataFrame:
         return F.sum(flag)
 
     def money(column: str) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0)).cast(MONEY).alias(column)
+        # Whole cents add up exactly as 64-bit numbers, several times faster than decimals
+        # beyond 18 digits do; a sum too large for them is an error, never a wrong value.
+        cents = F.sum((F.col(column) * 100).cast("long"))
+        exact = F.coalesce(cents, F.lit(0)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+        return exact.cast(MONEY).alias(column)
 
     measures = [
         count("is_aposta").alias("quantidade_apostas"),
@@ -88,7 +96,7 @@ def session_summary(rows: DataFrame, rewards: bool = True) -> DataFrame:
         )
         measures.append(paid_ids.alias("quantidade_recompensas"))
     flagged = with_masked_amounts(with_type_flags(rows))
-    return flagged.groupBy(*SESSION_KEYS).agg(*measures)
+    return flagged.groupBy("csn_customer_id", session, "csn_game_id").agg(*measures)
 
 
 def with_session_metrics(summary: DataFrame) -> DataFrame:

@@ -17,12 +17,23 @@ from stakeline.operators.enrich import (
     find_hot_histories,
     update_attributes,
 )
+from stakeline.operators.lanes import HotKeys, merge
 from stakeline.operators.quality import require_columns, sort_transactions
 from stakeline.operators.routing import route_complete, route_types
-from stakeline.operators.sessions import frame_sessions
+from stakeline.operators.sessions import (
+    CUSTOMER,
+    LOCAL,
+    count_up,
+    customer_shift,
+    flagged_lanes,
+    ledger_rows,
+    shifted,
+)
 from stakeline.operators.sports import bets_report, events_report, markets_report, sport_bet_ids
 from stakeline.operators.summary import (
+    SESSION_KEYS,
     money_as_double,
+    other_types,
     other_types_output,
     session_summary,
     with_session_metrics,
@@ -92,11 +103,30 @@ def session_summary_job(
     start_id: int = FIRST_SESSION_ID,
     gap: float = SESSION_GAP_SECONDS,
     skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
 ) -> SessionSummary:
-    """Sessionize a window, summarise its sessions and list its non-core rows."""
-    rows = frame_sessions(ledger, window, start_id, gap, skew)
-    summary = money_as_double(with_session_metrics(session_summary(rows)))
-    return SessionSummary(summary, money_as_double(other_types_output(rows)))
+    """Sessionize a window, summarise its sessions and list its non-core rows.
+
+    Sessions are summarised under their number within the customer and stored; ids over all
+    customers are given to the stored sessions. The ledger is thus read and sorted once, and
+    the numbers of sessions per customer come from the far smaller stored table.
+    """
+    found = flagged_lanes(ledger_rows(ledger, window), gap, skew, hot)
+    counted = [count_up(lane, shared_ties=False) for lane in found]
+    local = session_summary(merge([lane.rows() for lane in counted]), session=LOCAL)
+    stored = stage_table(local, "sessions_by_customer")
+    totals = stored.groupBy(*CUSTOMER).agg(F.max(LOCAL).alias("_sessions"))
+    shift = customer_shift(totals, "_sessions")
+    summary = with_session_metrics(shifted(stored.join(shift, [*CUSTOMER]), "sessionid", start_id))
+    other = [
+        shifted(lane.with_df(other_types(lane.df)).attach(shift).rows(), "sessionid", start_id)
+        for lane in counted
+    ]
+    measures = [c for c in summary.columns if c not in SESSION_KEYS]
+    return SessionSummary(
+        money_as_double(summary.select(*SESSION_KEYS, *measures)),
+        money_as_double(other_types_output(merge(other))),
+    )
 
 
 def attach_dims_job(sessions: DataFrame, games: DataFrame, categories: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session settings."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
@@ -22,18 +22,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, for checkpoints and staged tables.
+    """Folder every executor can reach, for staged tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local master, where
-    driver and executors are one process, may fall back to a temporary folder.
+    It is the one the cluster names in ``spark.checkpoint.dir``, else the checkpoint folder the
+    application has set. Only a local master, where driver and executors are one process, may
+    fall back to a temporary folder.
     """
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="stakeline-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named)
-    return named
+    known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if known:
+        return known
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="stakeline-"))
+    return sc.getCheckpointDir()

@@ -15,6 +15,7 @@ from stakeline.operators.asof import asof_last
 from stakeline.operators.enrich import fill_forward
 from stakeline.operators.quality import duplicate_report
 from stakeline.params import SkewPolicy, TimeWindow
+from stakeline.plans.jobs import session_summary_job
 
 ALL = TimeWindow.of("2024-01-01 00:00:00", "2025-12-31 23:59:59")
 TINY = SkewPolicy(max_rows=40)
@@ -70,6 +71,27 @@ def test_session_ids(spark, seed, spread, shared, skew):
     assert ids == expected_sessions(rows, shared)
 
 
+def test_summary_job_split_equals_whole(spark):
+    df = ledger(spark, make_rows(5, 30))
+    split = session_summary_job(df, ALL, 7, skew=TINY)
+    whole = session_summary_job(df, ALL, 7)
+    for one, other in zip(split, whole):
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    ids = sessions.frame_sessions(df, ALL, 7).select("csn_customer_id", "sessionid").distinct()
+    assert whole.summary.select("csn_customer_id", "sessionid").exceptAll(ids).isEmpty()
+    assert whole.summary.count() == ids.count()
+
+
+def test_numbering_does_not_move_chunked_rows(spark):
+    """The rows of a hot customer are joined to its shift where they are."""
+    df = ledger(spark, make_rows(5, 30))
+    plan = sessions.process_sessions(df, ALL, skew=TINY)._jdf.queryExecution().toString()
+    for line in plan.split("== Physical Plan ==")[1].splitlines():
+        assert "SortMergeJoin" not in line or "_chunk" not in line
+    hot_side = [part for part in plan.split("Union") if "_chunk" in part]
+    assert hot_side and "BroadcastHashJoin" in hot_side[-1]
+
+
 def test_session_id_properties(spark):
     rows = sessions.process_sessions(ledger(spark, make_rows(9, 50)), ALL, skew=TINY).collect()
     rows.sort(key=lambda r: (r.csn_customer_id, r.transaction_date))

@@ -263,11 +263,28 @@ def test_jdbc_options():
     }
 
 
-def test_shared_dir_is_the_named_one(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    if named:
-        assert shared_dir(spark) == named
+class FakeSession:
+    """A session with a given master, named folder and checkpoint folder."""
+
+    def __init__(self, master, named=None, folder=None):
+        self.master, self.folder = master, folder
+        self.sparkContext = self.conf = self
+        self.get = lambda key, default: named or default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_dir():
+    assert shared_dir(FakeSession("yarn", "hdfs:/shared", "hdfs:/other")) == "hdfs:/shared"
+    assert shared_dir(FakeSession("yarn", None, "hdfs:/other")) == "hdfs:/other"
+    with pytest.raises(RuntimeError):
+        shared_dir(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert shared_dir(local) == shared_dir(local)
 
 
 def test_sport_bet_ids(spark):
