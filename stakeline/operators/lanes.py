@@ -35,14 +35,45 @@ def range_chunks(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
     return stage_table(sliced, "chunks")
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with more rows than one task should hold; at most rows / max_rows of them.
+
+    ``rows`` is about how many rows they have in all, if that is known.
+    """
+
+    columns: tuple[str, ...]
+    values: list[tuple]
+    rows: float | None = None
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of other keys (null keys among them), and rows of hot keys if there are any."""
+        if not self.values:
+            return df, None
+        return self._join(df, "left_anti"), self.only(df)
+
+    def only(self, df: DataFrame) -> DataFrame:
+        """Rows of hot keys."""
+        return self._join(df, "left_semi")
+
+    def _join(self, df: DataFrame, how: str) -> DataFrame:
+        schema = df.select(*self.columns).schema
+        listed = df.sparkSession.createDataFrame(self.values, schema)
+        return df.join(F.broadcast(listed), [*self.columns], how)
+
+
 @dataclass(frozen=True)
 class Lane:
-    """Rows with keys and an order, whole per key or cut into chunks."""
+    """Rows with keys and an order, whole per key, or cut into chunks if the keys are hot."""
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    chunked: bool = False
+    hot: HotKeys | None = None
+
+    @property
+    def chunked(self) -> bool:
+        return self.hot is not None
 
     @property
     def _by(self) -> list[str]:
@@ -136,8 +167,7 @@ class Lane:
         """Joins a table of one row per key."""
         if self.chunked:
             # Chunked rows stay where they are: one row per hot key is sent to them.
-            own = F.broadcast(self.df.select(*self.keys).distinct())
-            per_key = F.broadcast(per_key.join(own, [*self.keys], "left_semi"))
+            per_key = F.broadcast(self.hot.only(per_key))
         return self.with_df(self.df.join(per_key, [*self.keys]))
 
     def _hand_on(self, value: Column) -> DataFrame:
@@ -164,24 +194,6 @@ def all_present(columns: tuple[str, ...] | list[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys with more rows than one task should hold; at most rows / max_rows of them."""
-
-    columns: tuple[str, ...]
-    values: list[tuple]
-    rows: float = 0.0
-
-    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """Rows of other keys (null keys among them), and rows of hot keys if there are any."""
-        if not self.values:
-            return df, None
-        schema = df.select(*self.columns).schema
-        listed = F.broadcast(df.sparkSession.createDataFrame(self.values, schema))
-        on = [*self.columns]
-        return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
-
-
 def find_hot(df: DataFrame, columns: tuple[str, ...], skew: SkewPolicy) -> HotKeys:
     """Counts keys on a sample. Runs at once, so pass the barest table that has the keys."""
     estimate = (F.count(F.lit(1)) / F.lit(skew.fraction)).alias("rows")
@@ -214,9 +226,12 @@ def lanes(
     cold_rows, hot_rows = hot.split(df)
     found = [Lane(cold_rows, keys, order)]
     if hot_rows is not None:
-        chunks = max(2, ceil(2 * hot.rows / skew.max_rows))
+        if hot.rows is None:
+            chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        else:
+            chunks = max(2, ceil(2 * hot.rows / skew.max_rows))
         sliced = range_chunks(hot_rows, [*keys, *order], chunks)
-        found.append(Lane(sliced, keys, order, chunked=True))
+        found.append(Lane(sliced, keys, order, hot))
     return found
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stakeline.operators.lanes import HotKeys, all_present, find_hot, merge
@@ -37,6 +37,12 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count")
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The same table, and its row count once it has been written; costs no extra pass."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("row_count")), seen
+
+
 def has_rows(df: DataFrame) -> bool:
     """Reads only until the first row."""
     return not df.isEmpty()

@@ -8,7 +8,9 @@ from pyspark.sql import SparkSession
 
 # Runtime settings the plans rely on. A hot join key is split by AQE even where the split
 # costs one more shuffle: that shuffle is cheaper than a task holding a third of the rows.
+# Strict casts and overflow checks need ANSI mode.
 RUNTIME_SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -92,6 +92,14 @@ def test_numbering_does_not_move_chunked_rows(spark):
     assert hot_side and "BroadcastHashJoin" in hot_side[-1]
 
 
+def test_known_hot_customers(spark):
+    rows = make_rows(6, 20)
+    hot = lanes.HotKeys(sessions.CUSTOMER, [(1,), (2,), (999,)])
+    got = sessions.process_sessions(ledger(spark, rows), ALL, hot=hot)
+    ids = {r.transaction_id: r.id_sessao for r in got.collect()}
+    assert ids == expected_sessions(rows, shared=True)
+
+
 def test_session_id_properties(spark):
     rows = sessions.process_sessions(ledger(spark, make_rows(9, 50)), ALL, skew=TINY).collect()
     rows.sort(key=lambda r: (r.csn_customer_id, r.transaction_date))

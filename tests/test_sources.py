@@ -186,6 +186,9 @@ def test_append_creates_then_adds(spark, tmp_path):
     sinks.append_table(df, path)
     assert spark.read.parquet(path).count() == 6
     assert sinks.copy_query(df, path).count() == 9
+    watched, seen = quality.counted(df, "loaded")
+    sinks.append_table(watched, path)
+    assert seen.get == {"row_count": 3}
 
 
 def test_staging_replaces(spark, tmp_path):
