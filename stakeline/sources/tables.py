@@ -108,13 +108,17 @@ def conform(
     )
 
 
-def next_session_start(sessions: DataFrame, default: int = FIRST_SESSION_ID) -> DataFrame:
+def next_session_start(
+    sessions: DataFrame, default: int = FIRST_SESSION_ID, column: str = "sessionid"
+) -> DataFrame:
     """One row: stored maximum + 1, or ``default`` where nothing is stored."""
-    return sessions.agg(F.coalesce(F.max("sessionid") + 1, F.lit(default)).alias("start_id"))
+    return sessions.agg(F.coalesce(F.max(column) + 1, F.lit(default)).alias("start_id"))
 
 
-def high_water_mark(sessions: DataFrame | None, default: int = FIRST_SESSION_ID) -> int:
+def high_water_mark(
+    sessions: DataFrame | None, default: int = FIRST_SESSION_ID, column: str = "sessionid"
+) -> int:
     """``next_session_start`` as a number; a missing table gives ``default``."""
     if sessions is None:
         return default
-    return next_session_start(sessions, default).first()["start_id"]
+    return next_session_start(sessions, default, column).first()["start_id"]
