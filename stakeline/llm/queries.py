@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeline.llm import quality_rules, secret_scan
+from stakeline.llm import decontamination, quality_rules, secret_scan
 from stakeline.llm.common import read
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,40 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     good = read(spark, folder, "labels").where("quality = 1")
     return quality_rules.judge(read(spark, folder, "documents"), good)
+
+
+_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op8_winnow_decontamination",
+    f"""WITH texts AS (
+ SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+ SELECT DISTINCT item, n, array_to_string(w[i + 1 : i + n], ' ') AS shingle
+ FROM (SELECT *, unnest(range(len(w) - n + 1)) AS i
+  FROM (SELECT *, least(len(w), 10) AS n FROM items) WHERE n > 0)),
+text_windows AS (
+ SELECT r, i, n, array_to_string(w[i + 1 : i + n], ' ') AS shingle
+ FROM (SELECT *, unnest(range(len(w) - n + 1)) AS i
+  FROM texts CROSS JOIN (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
+found AS (SELECT r, i, n, item FROM text_windows JOIN item_windows USING (n, shingle)),
+hit AS (
+ SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found)
+ GROUP BY r),
+named AS (
+ SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+ FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+ CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+ sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_contamination(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    )
