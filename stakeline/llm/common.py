@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import tempfile
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +28,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     tune(spark)
     for name, value in BATCH_SETTINGS.items():
         spark.conf.set(name, value)
+    _ship(spark)
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application: their tasks import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_stakeline_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / "stakeline.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._stakeline_shipped = True
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{table}.parquet")
 
@@ -168,11 +186,6 @@ def slices(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def flat(parts: Iterable[np.ndarray], dtype) -> np.ndarray:
-    parts = list(parts)
-    return np.concatenate(parts) if parts else np.empty(0, dtype)
-
-
 BROADCAST_ROWS = 1_000_000
 
 
@@ -181,4 +194,4 @@ def sized(narrow: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
     A larger one is left to Spark, which then shuffles both sides of a join.
     """
-    return F.broadcast(narrow) if narrow.limit(most + 1).count() <= most else narrow
+    return F.broadcast(narrow) if narrow.count() <= most else narrow

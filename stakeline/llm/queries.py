@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeline.llm import decontamination, quality_rules, secret_scan
+from stakeline.llm import decontamination, quality_rules, secret_scan, simhash
 from stakeline.llm.common import read
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_contamination(
         read(spark, folder, "documents"), read(spark, folder, "benchmark")
     )
+
+
+@query("op4_simhash_near_dedup")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"))
