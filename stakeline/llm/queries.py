@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeline.llm import decontamination, quality_rules, secret_scan, simhash
+from stakeline.llm import decontamination, packing, quality_rules, secret_scan, simhash
 from stakeline.llm.common import read
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_simhash_near_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query("op6_best_fit_packing")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
