@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeline.llm import decontamination, packing, quality_rules, secret_scan, simhash
+from stakeline.llm import (
+    decontamination,
+    packing,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    simhash,
+)
 from stakeline.llm.common import read
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +89,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op1_quality_classifier")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return quality_model.score(docs, quality_model.train(docs, read(spark, folder, "labels")))
+
+
 @query("op4_simhash_near_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
