@@ -13,6 +13,7 @@ from stakeline.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    warc,
 )
 from stakeline.llm.common import read
 
@@ -103,3 +104,23 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_best_fit_packing")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
+
+
+@query(
+    "op10_chunked_warc",
+    """WITH records AS (
+ SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+held AS (
+ SELECT *, CASE WHEN payload_bytes >= 1000
+  THEN max(page_id) OVER (PARTITION BY payload_digest) END AS holder FROM records)
+SELECT page_id, payload_bytes, payload_digest,
+ CASE WHEN holder IS NULL OR holder IS NOT DISTINCT FROM page_id
+  THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN holder IS DISTINCT FROM page_id THEN holder END AS refers_to
+FROM held""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    path = warc.fresh_path(spark)
+    warc.write_archives(warc.chunk_table(read(spark, folder, "pages")), path)
+    return warc.read_records(spark, path)
