@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stakeline.llm import (
     decontamination,
+    hilbert,
     packing,
     quality_model,
     quality_rules,
     secret_scan,
     simhash,
+    url_rules,
     warc,
 )
 from stakeline.llm.common import read
@@ -124,3 +126,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     path = warc.fresh_path(spark)
     warc.write_archives(warc.chunk_table(read(spark, folder, "pages")), path)
     return warc.read_records(spark, path)
+
+
+_RULES = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in url_rules.RULES)
+
+
+@query(
+    "op2_url_filter",
+    f"""WITH urls AS (
+ SELECT row_number() OVER () AS r, page_id,
+  translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+best AS (
+ SELECT r, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+  arg_max(rule_verdict, length(rule_host || rule_path)) AS verdict
+ FROM urls JOIN (VALUES {_RULES}) AS rules(rule_verdict, rule_host, rule_path)
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+ GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM urls LEFT JOIN best USING (r)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(url_rules.RULES, "verdict string, host string, path string")
+    return url_rules.judge_urls(read(spark, folder, "pages"), rules)
+
+
+@query("op5_hilbert_sharding")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert.shard(read(spark, folder, "documents"), ["lang", "source", "size"])
