@@ -10,6 +10,7 @@ from stakeline.llm import (
     decontamination,
     hilbert,
     packing,
+    page_text,
     quality_model,
     quality_rules,
     secret_scan,
@@ -155,3 +156,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_hilbert_sharding")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert.shard(read(spark, folder, "documents"), ["lang", "source", "size"])
+
+
+@query("op3_html_extraction")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.extract_text(read(spark, folder, "pages"))
