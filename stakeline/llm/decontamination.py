@@ -208,6 +208,47 @@ def _per_document(counted: DataFrame, stretches: DataFrame) -> DataFrame:
     return counted.join(found, same, "left")
 
 
+def _contamination(
+    docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str
+) -> DataFrame:
+    """One row per document with its keys, n_words, n_hit and items; the latter null for none.
+
+    Two scans of the documents: the second one of those that share a fingerprint only. Their list
+    is written to the shared folder, and sent to all tasks if a count shows it is short. The
+    items' fingerprints are treated alike.
+    """
+    items = benchmark.select(
+        F.col(item_id).cast("string").alias("item"), words(F.col(item_text)).alias("w")
+    )
+    sources = {s: _item_fingerprints(items, s) for s in _schemes(items)}
+    rows = docs.select(
+        F.col(doc_id).alias("__id"), _text_hash(text).alias("__text"), words(F.col(text)).alias("w")
+    )
+    counted = _sharing(rows, sources)
+    if not sources:
+        none = F.lit(None).cast("array<string>")
+        return counted.withColumns({"n_hit": F.lit(None).cast("int"), "items": none})
+    counted = stage_table(counted, "decontamination")
+    sharing = counted.where("shares").select(
+        F.col("__id").alias("__s_id"), F.col("__text").alias("__s_text")
+    )
+    chosen = rows.join(
+        sized(sharing.distinct()),
+        F.col("__id").eqNullSafe(F.col("__s_id")) & (F.col("__text") == F.col("__s_text")),
+        "left_semi",
+    )
+    stretches = None
+    for scheme, source in sources.items():
+        hits = scheme.fingerprints(chosen, KEYS).join(sized(source, ITEM_ROWS), "hash")
+        part = scheme.extended(hits).select(*KEYS, "item", "from", "to")
+        stretches = part if stretches is None else stretches.unionByName(part)
+    return _per_document(counted, stretches)
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -218,45 +259,36 @@ def find_contamination(
 ) -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated.
 
-    Other columns are not read. Two scans of the documents: the second one of those that share a
-    fingerprint only. Their list is written to the shared folder, and sent to all tasks if a
-    count shows it is short. The items' fingerprints are treated alike.
+    Other columns are not read.
     """
-    items = benchmark.select(
-        F.col(item_id).cast("string").alias("item"), words(F.col(item_text)).alias("w")
-    )
-    sources = {s: _item_fingerprints(items, s) for s in _schemes(items)}
-    rows = docs.select(
-        F.col(doc_id).alias("__id"),
-        F.xxhash64(F.coalesce(text, F.lit(""))).alias("__text"),
-        words(F.col(text)).alias("w"),
-    )
-    counted = _sharing(rows, sources)
-    if sources:
-        counted = stage_table(counted, "decontamination")
-        sharing = counted.where("shares").select(
-            F.col("__id").alias("__s_id"), F.col("__text").alias("__s_text")
-        )
-        chosen = rows.join(
-            sized(sharing.distinct()),
-            F.col("__id").eqNullSafe(F.col("__s_id")) & (F.col("__text") == F.col("__s_text")),
-            "left_semi",
-        )
-        stretches = None
-        for scheme, source in sources.items():
-            hits = scheme.fingerprints(chosen, KEYS).join(sized(source, ITEM_ROWS), "hash")
-            part = scheme.extended(hits).select(*KEYS, "item", "from", "to")
-            stretches = part if stretches is None else stretches.unionByName(part)
-        found = _per_document(counted, stretches)
-    else:
-        none = F.array().cast("array<string>")
-        found = counted.withColumns({"n_hit": F.lit(0), "items": none})
-    items_text = F.coalesce(F.array_join("items", ","), F.lit(""))
+    found = _contamination(docs, benchmark, doc_id, text, item_id, item_text)
+    items = F.coalesce(F.array_join("items", ","), F.lit(""))
     return found.select(
         F.col("__id").alias(doc_id),
         F.col("n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
-        F.sha2(items_text, 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.sha2(items, 256).alias("items_sha256"),
+        F.col("n_hit").isNotNull().alias("contaminated"),
+    )
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The documents without a hit, with all their columns.
+
+    What goes is listed by id and text; the list is broadcast if a count shows it is short.
+    """
+    found = _contamination(docs, benchmark, doc_id, text, item_id, item_text)
+    listed = found.where("n_hit IS NOT NULL").select(
+        F.col("__id").alias("__hit_id"), F.col("__text").alias("__hit_text")
     )
+    listed = stage_table(listed.distinct(), "contaminated")
+    same = docs[doc_id].eqNullSafe(listed["__hit_id"]) & (_text_hash(text) == listed["__hit_text"])
+    return docs.join(sized(listed), same, "left_anti")

@@ -325,3 +325,29 @@ def score(
             (F.col("score") >= threshold).cast("int").alias("predicted"),
         )
     )
+
+
+def _keep_batches(
+    batches: Iterator[pa.RecordBatch],
+    model: tuple[np.ndarray, Network | Constant],
+    at: int,
+    threshold: float,
+) -> Iterator[pa.RecordBatch]:
+    vectors, network = model
+    for rows in batches:
+        scores = network.scores(pooled(as_bytes(rows[at]), vectors))
+        yield rows.filter(pa.array(scores >= threshold))
+
+
+def keep_good(
+    docs: DataFrame,
+    model: tuple[np.ndarray, Network | Constant],
+    text: str = "text",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The documents that score ``threshold`` or more, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+    return docs.mapInArrow(
+        lambda batches: _keep_batches(batches, sent.value, at, threshold), docs.schema
+    )

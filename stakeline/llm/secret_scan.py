@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stakeline.llm.common import as_bytes, batch
@@ -183,32 +183,36 @@ def find_secrets(
     )
 
 
-REDACTED_DDL = "text string"
-
-
-def _redact_batches(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+def _redact_batches(
+    batches: Iterator[pa.RecordBatch], at: int, length_at: int | None
+) -> Iterator[pa.RecordBatch]:
     words = _automaton()
     for rows in batches:
-        texts = rows[at].to_pylist()
-        for i, text in enumerate(texts):
-            if text:
-                data = text.encode()
-                found = scan(data, words)
-                if found:
-                    texts[i] = redact(data, found)
-        columns = list(rows.columns)
-        columns[at] = pa.array(texts, rows.schema.field(at).type)
+        columns, texts = list(rows.columns), rows[at].to_pylist()
+        changed = {}
+        for i, data in enumerate(as_bytes(rows[at])):
+            found = scan(data, words)
+            if found:
+                changed[i] = redact(data, found)
+        if changed:
+            new = [changed.get(i, text) for i, text in enumerate(texts)]
+            columns[at] = pa.array(new, columns[at].type)
+            if length_at is not None:
+                lengths = columns[length_at].to_pylist()
+                for i, text in changed.items():
+                    lengths[i] = len(text)
+                columns[length_at] = pa.array(lengths, columns[length_at].type)
         yield pa.RecordBatch.from_arrays(columns, schema=rows.schema)
 
 
-def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
+def redact_secrets(
+    docs: DataFrame, text: str = "text", length: str | None = None
+) -> DataFrame:
     """The documents with every secret in ``text`` replaced by its kind; all columns stay.
 
-    Texts without secrets, nulls among them, are unchanged.
+    Texts without secrets, nulls among them, are unchanged. ``length`` names a column that holds
+    the number of characters, to be kept right where a text changes; it may be missing.
     """
     at = docs.columns.index(text)
-    return docs.mapInArrow(lambda batches: _redact_batches(batches, at), docs.schema)
-
-
-def text_length(text: Column) -> Column:
-    return F.char_length(text).cast("bigint")
+    length_at = docs.columns.index(length) if length in docs.columns else None
+    return docs.mapInArrow(lambda batches: _redact_batches(batches, at, length_at), docs.schema)

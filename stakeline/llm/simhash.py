@@ -65,13 +65,16 @@ def fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-PRINTS = pa.schema([("id", pa.int64()), ("fingerprint", pa.int64())])
+PRINTS = pa.schema(
+    [("id", pa.int64()), ("text_hash", pa.int64()), ("fingerprint", pa.int64())]
+)
+PRINTS_DDL = "id bigint, text_hash bigint, fingerprint bigint"
 
 
 def _print_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         found = np.array([fingerprint(t, size) for t in as_bytes(rows[1])], np.uint64)
-        yield batch(PRINTS, rows[0], found.view(np.int64))
+        yield batch(PRINTS, rows[0], rows[2], found.view(np.int64))
 
 
 # --- trees ------------------------------------------------------------------------------------
@@ -200,6 +203,33 @@ def _links(prints: DataFrame, radius: int) -> DataFrame:
     return _search(rest, radius).unionByName(_search(_keyed(again, finer), radius))
 
 
+def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int) -> DataFrame:
+    """One row per document: id, hash of its text, fingerprint, group, and the group's least id.
+
+    A group goes by one of its fingerprints. Fingerprints are written to the shared folder, as the
+    texts are read for them once.
+    """
+    rows = docs.select(
+        F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("t"), text_hash(text)
+    )
+    prints = stage_table(
+        rows.mapInArrow(lambda batches: _print_batches(batches, shingle), PRINTS_DDL),
+        "fingerprints",
+    )
+    distinct = prints.groupBy("fingerprint").agg(F.min("id").alias("first"))
+    grouped = connected_components(_links(distinct.select("fingerprint"), radius))
+    named = distinct.join(grouped, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("group")
+    )
+    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    # One row per fingerprint on this side; copies of a text only meet the join with it.
+    return prints.join(named.join(least, "group").drop("first"), "fingerprint")
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -210,25 +240,54 @@ def near_duplicates(
     """One row per document: id, fingerprint (16 hex digits), component_id.
 
     ``component_id`` is the least id reachable over links of ``radius`` or fewer bits. Null ids
-    are never the least. Other columns are not read. Fingerprints are written to the shared
-    folder, as the texts are read for them once.
+    are never the least. Other columns are not read.
     """
-    prints = docs.select(F.col(doc_id).cast("bigint"), text).mapInArrow(
-        lambda batches: _print_batches(batches, shingle), "id bigint, fingerprint bigint"
+    return _classes(docs, doc_id, text, shingle, radius).select(
+        F.col("id").alias(doc_id),
+        hex_digits(F.col("fingerprint")).alias("fingerprint"),
+        "component_id",
     )
-    prints = stage_table(prints, "fingerprints")
-    distinct = prints.groupBy("fingerprint").agg(F.min("id").alias("first"))
-    grouped = connected_components(_links(distinct.select("fingerprint"), radius))
-    named = distinct.join(grouped, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("group")
+
+
+def keep_one(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    radius: int = 2,
+) -> DataFrame:
+    """One document of each group of near duplicates, with all its columns.
+
+    The one of the least id stays; of several with that id, the one whose text has the least hash;
+    of rows equal in both, any one. Without ids the hash alone decides. What goes is listed by id
+    and text hash, and the list is sent to all tasks if a count shows it is short.
+    """
+    found = stage_table(_classes(docs, doc_id, text, shingle, radius), "classes")
+    own = F.struct(F.col("id").isNull(), "id", "text_hash")
+    keepers = found.groupBy("group").agg(F.min(own).alias("keeper"))
+    rows = found.join(keepers, "group").select(
+        F.col("id").alias("__id"),
+        F.col("text_hash").alias("__hash"),
+        (own == F.col("keeper")).alias("kept"),
     )
-    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
-    # One row per fingerprint on this side; copies of a text only meet the join with it.
-    named = named.join(least, "group").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(
-        F.col("id").alias(doc_id), hex_digits(F.col("fingerprint")).alias("fingerprint"),
-        "component_id",
+    listed = stage_table(
+        rows.groupBy("__id", "__hash").agg(
+            F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+        ).where("NOT kept OR n > 1"),
+        "listed",
     )
+    here = docs.withColumn("__text_hash", text_hash(text))
+
+    def matching(rows: DataFrame, how: str) -> DataFrame:
+        same = here[doc_id].eqNullSafe(rows["__id"]) & (here["__text_hash"] == rows["__hash"])
+        return here.join(sized(rows), same, how)
+
+    single = matching(listed, "left_anti")
+    repeated = listed.where("kept").select("__id", "__hash")
+    if not repeated.isEmpty():
+        copies = matching(repeated, "left_semi").dropDuplicates([doc_id, "__text_hash"])
+        single = single.unionByName(copies)
+    return single.drop("__text_hash")
 
 
 def hex_digits(number: Column) -> Column:
