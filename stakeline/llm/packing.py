@@ -18,11 +18,12 @@ like any others; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,20 +37,47 @@ CAPACITY = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 
-# Words whose ids a task remembers from batch to batch, and words encoded at a time.
+# Parts of texts whose ids a worker remembers from batch to batch.
 REMEMBERED = 300_000
-TOGETHER = 10_000
-# A word of its own, to tell words apart that are encoded together.
-_MARK = "\x01"
-# White space for Python's split() that is not white space for the tokenizer, and the mark.
-_SPECIAL = ("\x01", "\x1c", "\x1d", "\x1e", "\x1f")
+# How the vocabulary's tokenizer splits lower-cased text, for characters up to
+# U+00FF: endings after an apostrophe, letters, single digits, runs of all else but white space.
+_SPLIT = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^\t-\r \x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+"
+)
+_WORD = re.compile(
+    r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+)
+# Strings that the tokenizer takes for tokens of their own.
+_SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character by which byte-level vocabularies write each byte.
+
+    Visible ones stand for themselves, the others for those from U+0100 on, in order.
+    """
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 0x100 + i for i, b in enumerate(others)}
+
+
+def _narrow(text: str) -> bool:
+    """Whether all characters are up to U+00FF."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers.
 
-    The tokenizer never joins anything across white space, so a text's ids are those of its words
-    in order. Ids of words are remembered; the unknown words of a batch are encoded together.
+    The tokenizer splits a text into parts and merges bytes within a part only, so a text's ids
+    are those of its parts in order, and ids of parts can be remembered. Parts of characters up to
+    U+00FF, where splitting and lower-casing are simple, go to the tokenizer's merges directly;
+    words with others, and texts with its special strings, go through the tokenizer whole.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -61,33 +89,48 @@ class Encoder:
 
             vocabulary = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
-        (self.mark,) = self._ids(_MARK)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, words: list[str]) -> None:
-        ids = self._ids(f" {_MARK} ".join(words))
-        cuts = np.flatnonzero(ids == self.mark)
-        starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
-        raw = ids.tobytes()
-        for word, a, b in zip(words, starts.tolist(), ends.tolist(), strict=True):
-            self.known[word] = raw[4 * a : 4 * b]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of a batch of texts."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        odd = [bool(text) and any(c in text for c in _SPECIAL) for text in texts]
-        split = [[] if o or not text else text.split() for o, text in zip(odd, texts, strict=True)]
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.known]
-        for at in range(0, len(new), TOGETHER):
-            self._learn(new[at : at + TOGETHER])
-        return [
-            self._ids(text).tobytes() if o else b"".join([self.known[w] for w in words])
-            for o, text, words in zip(odd, texts, split, strict=True)
-        ]
+        self.merges = self.tokenizer.model
+        self.characters = _byte_characters()
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _simple(self, text: str) -> bytes:
+        """Ids of a text of characters up to U+00FF."""
+        found = _SPLIT.findall(text.lower())
+        for part in set(found).difference(self.parts):
+            written = part.encode().decode("latin-1").translate(self.characters)
+            ids = [token.id for token in self.merges.tokenize(written)]
+            self.parts[part] = np.array(ids, "<u4").tobytes()
+        return b"".join(map(self.parts.__getitem__, found))
+
+    def _word(self, word: str) -> bytes:
+        if _narrow(word):
+            return self._simple(word)
+        if word not in self.words:
+            self.words[word] = self._whole(word)
+        return self.words[word]
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        for known in (self.parts, self.words):
+            if len(known) > REMEMBERED:
+                known.clear()
+        if any(s in text for s in _SPECIAL):
+            return self._whole(text)
+        if _narrow(text):
+            return self._simple(text)
+        # Nothing is merged across white space.
+        return b"".join(map(self._word, _WORD.findall(text)))
+
+
+@cache
+def _encoder(vocabulary: str) -> Encoder:
+    """One per worker process, which serves many tasks."""
+    return Encoder(vocabulary)
 
 
 PIECES = pa.schema(
@@ -106,11 +149,11 @@ PIECES_DDL = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 def _piece_batches(
     batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, keep_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(vocabulary)
+    encoder = _encoder(vocabulary)
     end = np.array([END], "<u4").tobytes()
     for rows in batches:
         columns = [[] for _ in PIECES]
-        texts = encoder.encode(rows[1].to_pylist())
+        texts = map(encoder.encode, rows[1].to_pylist())
         for doc_id, ids in zip(rows[0].to_pylist(), texts, strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
