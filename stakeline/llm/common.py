@@ -127,6 +127,9 @@ def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
     piece, size = [], 0
     for i, text in enumerate(texts):
         at = 0
+        if len(text) > PIECE_BYTES and piece:
+            yield piece
+            piece, size = [], 0
         while len(text) - at > PIECE_BYTES:
             end = at + PIECE_BYTES
             space = max(text.rfind(b" ", at, end), text.rfind(b"\n", at, end))
