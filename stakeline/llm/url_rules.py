@@ -72,7 +72,7 @@ def _host_prefixes(key: Column) -> Column:
 
 
 def _path_prefixes(key: Column) -> Column:
-    """All beginnings of a key from its first slash on."""
+    """All beginnings of a host and path that have the whole host."""
     slash = F.instr(key, "/")
     return F.transform(
         F.sequence(slash, F.length(key)), lambda n: F.substring(key, F.lit(1), n)
@@ -150,7 +150,8 @@ def judge_urls(
     none = F.lit(None).cast("string")
     hosts = rules.select(F.col("host_key").alias("key")).distinct()
     hosts = hosts.withColumns({"rule": none, "verdict": none})
-    paths = rules.select(F.concat("host_key", "path").alias("key"), "rule", "verdict")
+    # Hosts have no slash, so the first one parts host and path.
+    paths = rules.select(F.concat_ws("/", "host_key", "path").alias("key"), "rule", "verdict")
 
     urls = pages.select(
         F.monotonically_increasing_id().alias("url_row"),
@@ -163,7 +164,7 @@ def judge_urls(
     )
     # A row per host with rules that the url lies under; urls without any keep one.
     per_host = held.withColumn("under", F.explode_outer("stack.key")).withColumn(
-        "key", F.concat(F.coalesce("under", F.lit("")), _plain(F.col("path")))
+        "key", F.concat(F.coalesce("under", F.lit("")), F.lit("/"), _plain(F.col("path")))
     )
     fits = _sweep(per_host.drop("stack"), paths, _path_prefixes, "url_paths")
     longest = F.array_max(
