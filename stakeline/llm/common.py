@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from stakeline.session import tune
 from stakeline.sources.sinks import stage_table
 
-# Arrow batches stay small: texts are long, and a task holds one batch at a time.
+# Arrow batches stay small: a task holds one batch of texts and some arrays over its bytes.
 BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20),
 }
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -38,7 +38,7 @@ END = 1
 VOCABULARY = "word_bpe_49k.json"
 
 # Parts of texts whose ids a worker remembers from batch to batch.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 # How the vocabulary's tokenizer splits lower-cased text, for characters up to
 # U+00FF: endings after an apostrophe, letters, single digits, runs of all else but white space.
 _SPLIT = re.compile(

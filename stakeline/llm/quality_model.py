@@ -34,8 +34,8 @@ NONZERO, REACH = 4, 2
 # Distances at which a word is compared with later ones, and values of a pooled document.
 LAGS = (1, 2, 3)
 POOLED = 2 * WIDTH + len(LAGS)
-# Words pooled at a time.
-STEP = 1 << 14
+# Words counted or pooled at a time.
+STEP = 1 << 15
 # Labelled documents the network is fitted on, at most.
 SAMPLE = 20_000
 # Every so many-th document of the sample calibrates.
@@ -58,20 +58,26 @@ def _rows(tokens: np.ndarray) -> np.ndarray:
 
 
 def _accumulate(table: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> None:
-    """Adds the index vectors of neighbours to the (flat) table of word vectors."""
-    own = _rows(tokens) * WIDTH
-    drawn = mix(tokens)
-    for k in range(NONZERO):
-        bits = (drawn >> np.uint64(8 * k)).astype(np.int64)
-        place, sign = bits % WIDTH, np.where(bits & 128, 1.0, -1.0)
+    """Adds the index vectors of neighbours to the (flat) table of word vectors.
+
+    A step takes the pairs that begin in it, so it looks a few words ahead.
+    """
+    for at in range(0, len(tokens), STEP):
+        own = tokens[at : at + STEP + REACH]
+        text = owner[at : at + STEP + REACH]
+        row, drawn = _rows(own) * WIDTH, mix(own)
+        places, signs = [], []
         for reach in range(1, REACH + 1):
-            near = owner[reach:] == owner[:-reach]
-            for here, there in (
-                (slice(None, -reach), slice(reach, None)),
-                (slice(reach, None), slice(None, -reach)),
-            ):
-                at = (own[here] + place[there])[near]
-                table += np.bincount(at, sign[there][near], len(table)).astype(np.int64)
+            first = np.flatnonzero(text[reach:] == text[:-reach])
+            first = first[first < STEP]
+            for here, there in ((first, first + reach), (first + reach, first)):
+                for k in range(NONZERO):
+                    bits = (drawn[there] >> np.uint64(8 * k)).astype(np.int64)
+                    places.append(row[here] + bits % WIDTH)
+                    signs.append(np.where(bits & 128, 1.0, -1.0))
+        table += np.bincount(
+            np.concatenate(places), np.concatenate(signs), len(table)
+        ).astype(np.int64)
 
 
 SUMS_DDL = "word int, seen bigint, " + ", ".join(f"v{i} bigint" for i in range(WIDTH))

@@ -32,7 +32,7 @@ from stakeline.session import shared_dir
 # Least payload that is stored once only, and most bytes of a chunk.
 REVISIT_BYTES = 1000
 CHUNK_BYTES = 1 << 18
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 # Parts of the format.
 VERSION = "WARC/1.1"

@@ -92,6 +92,15 @@ def test_word_vectors_by_brute_force(spark):
     assert np.allclose(got[used], want, atol=1e-5) and not got[~used].any()
 
 
+def test_steps_do_not_show(monkeypatch):
+    tokens, owner = token_hashes([b"a b c d e f g " * 9, b"x y z " * 5, b"", b"one"])
+    whole, parts = (np.zeros(model.ROWS * model.WIDTH, np.int64) for _ in range(2))
+    model._accumulate(whole, tokens, owner)
+    monkeypatch.setattr(model, "STEP", 5)
+    model._accumulate(parts, tokens, owner)
+    assert whole.any() and (whole == parts).all()
+
+
 def test_token_hashes_depend_on_the_token_only():
     long = (b"word " * 1_200_000) + b"***end"
     tokens, owner = token_hashes([b"word, end", long, b"", b"*** word"])
