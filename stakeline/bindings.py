@@ -43,6 +43,19 @@ TXN = """SELECT event_id AS customer_transaction_id, user_id AS csn_customer_id,
  CASE WHEN k % 10 = 7 THEN NULL ELSE concat('game-', CAST(k % 3 AS VARCHAR(4))) END AS game_name,
  CAST(value AS DECIMAL(18,2)) AS current_balance, ts + INTERVAL '1' DAY AS etl_date FROM {rows}"""
 
+# Four customers with one game most of the time: sessions of several rows.
+DENSE_EVENT_ROWS = """SELECT event_id, user_id % 4 AS user_id, event_type, value, ts,
+ CASE WHEN k < 90 THEN 33 ELSE k END AS k FROM event_rows"""
+
+# Amounts of four places.
+FINE_TXN = """SELECT l_orderkey * 10 + l_linenumber AS customer_transaction_id,
+ l_suppkey AS csn_customer_id, l_shipdate AS transaction_date,
+ CAST(CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 8 WHEN 4 THEN 15 ELSE 3 END AS BIGINT)
+  AS csn_cust_transaction_type_id,
+ CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4))
+  AS amount_from_balance,
+ l_partkey % 3 AS csn_game_id, CAST(0 AS DECIMAL(18,2)) AS current_balance FROM lineitem"""
+
 BETS = """SELECT user_id AS customer_id, CAST(k AS BIGINT) AS csn_game_id,
  CASE WHEN event_type = 'click' AND event_id % 2 = 0 THEN ts ELSE ts - INTERVAL '1' SECOND END AS played_date,
  CASE WHEN event_id % 4 = 0 THEN ts ELSE ts + INTERVAL '1' SECOND END AS update_date FROM {rows}"""
@@ -64,7 +77,10 @@ VIEWS = {
     "event_rows": (EVENT_ROWS, ("events",), None),
     "event_rows_hot": (HOT_EVENT_ROWS, ("event_rows",), None),
     "event_rows_tied": (TIED_EVENT_ROWS, ("event_rows",), None),
+    "event_rows_dense": (DENSE_EVENT_ROWS, ("event_rows",), None),
     "txn": (TXN.format(rows="event_rows"), ("event_rows",), S.LEDGER_VIEW),
+    "txn_dense": (TXN.format(rows="event_rows_dense"), ("event_rows_dense",), S.LEDGER_VIEW),
+    "txn_fine": (FINE_TXN, ("lineitem",), None),
     "txn_hot": (TXN.format(rows="event_rows_hot"), ("event_rows_hot",), S.LEDGER_VIEW),
     "txn_tied": (TXN.format(rows="event_rows_tied"), ("event_rows_tied",), S.LEDGER_VIEW),
     "casino_customer_bets": (BETS.format(rows="event_rows"), ("event_rows",), S.BETS),

@@ -36,22 +36,30 @@ def asof_last(
         F.col(tiebreak or value).alias("_tie"),
         F.struct(F.col(value).alias("v")).alias("_hit"),
         F.lit(0).cast("long").alias("_spread"),
+        # Ties that change no result; it cuts tied rows of a hot key into chunks too.
+        F.xxhash64(*right.columns).alias("_last"),
     )
     # Left rows that cannot match are spread evenly instead of meeting under the null key.
     spread = F.when(F.col(key).isNotNull(), F.lit(0).cast("long")).otherwise(
         1 + F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))
     )
     asked = left.withColumns(
-        {"_at": F.col(left_time), "_side": F.lit(1), "_spread": spread}
+        {
+            "_at": F.col(left_time),
+            "_side": F.lit(1),
+            "_spread": spread,
+            "_last": F.xxhash64(*left.columns),
+        }
     )
     stacked = asked.unionByName(hits, allowMissingColumns=True)
     if hot is None:
         hot = find_hot(left.select(key).union(right.select(key)), (key,), skew)
+    order = ("_at", "_side", "_tie", "_last")
     # Right rows come first among equal times, which makes "at or before" inclusive.
     found = merge(
         [
             lane.last_before(F.col("_hit"), "_found").rows()
-            for lane in lanes(stacked, (key, "_spread"), ("_at", "_side", "_tie"), skew, hot)
+            for lane in lanes(stacked, (key, "_spread"), order, skew, hot)
         ]
     )
     return found.where(F.col("_side") == 1).select(

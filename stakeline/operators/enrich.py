@@ -7,6 +7,8 @@ does not depend on the order in which several matches are applied: the greatest
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +79,11 @@ def fill_from_bets(ledger: DataFrame, bets: DataFrame) -> DataFrame:
     one lookup table and the ledger is shuffled once. Bets must have a game, as those from
     ``bets_extract`` do.
     """
+    return fill_from_lookup(ledger, bets_lookup(bets))
+
+
+def bets_lookup(bets: DataFrame) -> DataFrame:
+    """One row per customer and time: the games of bets played and of bets updated then."""
     no_game = F.lit(None).cast("long")
     sides = F.array(
         F.struct(
@@ -90,13 +97,17 @@ def fill_from_bets(ledger: DataFrame, bets: DataFrame) -> DataFrame:
             F.col("csn_game_id").alias("updated"),
         ),
     )
-    lookup = (
+    return (
         bets.select(F.col("customer_id").alias(KEY[0]), F.inline(sides))
         .withColumnRenamed("at", KEY[1])
         .where(all_present(KEY))
         .groupBy(*KEY)
         .agg(F.max("played").alias("_played"), F.max("updated").alias("_updated"))
     )
+
+
+def fill_from_lookup(ledger: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The join of ``fill_from_bets``."""
     joined = ledger.join(lookup, KEY, "left")
     game = F.coalesce(
         F.when(is_bet(F.col(TYPE)), F.col("_played")),
@@ -116,14 +127,18 @@ def find_hot_histories(ledger: DataFrame, skew: SkewPolicy = DEFAULT_SKEW) -> Ho
 
 
 def fill_forward(
-    ledger: DataFrame, skew: SkewPolicy = DEFAULT_SKEW, hot: HotKeys | None = None
+    ledger: DataFrame,
+    skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
+    then: Callable[[DataFrame], DataFrame] = lambda part: part,
 ) -> DataFrame:
     """Core rows without a game take the latest game the customer had, strictly earlier, in a
     row of the same type; of several at that time the greatest.
 
     Rows without a game sort before those with one at the same time, so "earlier in the row
     order" is "strictly earlier in time" for them. Filled values are not passed on, which
-    changes nothing: they equal the value they came from.
+    changes nothing: they equal the value they came from. ``then`` is a step before this one
+    that fills games too; it is done after hot keys are split off.
     """
     # Rows that take no part are spread evenly instead of meeting under a null or other key.
     spread = F.when(_may_fill(), F.lit(0)).otherwise(
@@ -134,9 +149,11 @@ def fill_forward(
         for lane in lanes(
             ledger.withColumn("_spread", spread),
             (KEY[0], TYPE, "_spread"),
-            (KEY[1], "csn_game_id"),
+            # The id cuts rows tied in the others into chunks too.
+            (KEY[1], "csn_game_id", "customer_transaction_id"),
             skew,
             hot or find_hot_histories(ledger, skew),
+            then,
         )
     ]
     earlier = F.when(F.col("_spread") == 0, F.col("_earlier"))

@@ -9,6 +9,7 @@ hand on (last value, running sum). What is handed on is one row per chunk and ke
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 from math import ceil
@@ -21,6 +22,8 @@ from stakeline.params import SkewPolicy
 from stakeline.sources.sinks import stage_table
 
 CHUNK = "_chunk"
+# Keys in a list that is sent to every task.
+MOST_LISTED = 1_000_000
 BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -59,7 +62,9 @@ class HotKeys:
     def _join(self, df: DataFrame, how: str) -> DataFrame:
         schema = df.select(*self.columns).schema
         listed = df.sparkSession.createDataFrame(self.values, schema)
-        return df.join(F.broadcast(listed), [*self.columns], how)
+        # A caller's list may be of any length.
+        listed = F.broadcast(listed) if len(self.values) <= MOST_LISTED else listed
+        return df.join(listed, [*self.columns], how)
 
 
 @dataclass(frozen=True)
@@ -217,20 +222,22 @@ def lanes(
     order: tuple[str, ...],
     skew: SkewPolicy,
     hot: HotKeys | None = None,
+    then: Callable[[DataFrame], DataFrame] = lambda part: part,
 ) -> list[Lane]:
     """One lane of whole keys, and a chunked one where some keys are hot.
 
-    ``hot`` may come from an earlier count, over some or all of the key columns.
+    ``hot`` may come from an earlier count, over some or all of the key columns. ``then`` is a
+    step on rows that is done on each part after the split, so no part of it is done twice.
     """
     hot = hot or find_hot(df, keys, skew)
     cold_rows, hot_rows = hot.split(df)
-    found = [Lane(cold_rows, keys, order)]
+    found = [Lane(then(cold_rows), keys, order)]
     if hot_rows is not None:
         if hot.rows is None:
             chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         else:
             chunks = max(2, ceil(2 * hot.rows / skew.max_rows))
-        sliced = range_chunks(hot_rows, [*keys, *order], chunks)
+        sliced = range_chunks(then(hot_rows), [*keys, *order], chunks)
         found.append(Lane(sliced, keys, order, hot))
     return found
 

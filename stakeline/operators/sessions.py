@@ -22,8 +22,9 @@ from stakeline.params import (
 )
 
 CUSTOMER = ("csn_customer_id",)
-# The id makes the order total: without it the previous row of tied rows is arbitrary.
-TIME_ORDER = ("transaction_date", "customer_transaction_id")
+# The id makes the order total: without it the previous row of tied rows is arbitrary. Rows that
+# repeat an id are ordered by game, so rows equal in all three have equal flags in any order.
+TIME_ORDER = ("transaction_date", "customer_transaction_id", "csn_game_id")
 
 GAP = "dif_data_atual_com_anterior"
 LOCAL = "customer_session"

@@ -19,6 +19,7 @@ from stakeline.params import (
     SkewPolicy,
     TimeWindow,
 )
+from stakeline.sources.sinks import stage_table
 
 MASTER = "sport_bet_master_id"
 
@@ -91,9 +92,10 @@ def bets_report(
 
     A few days of bets meet a whole history of logins, so logins of other customers are dropped
     first. That partitions the logins as the bets are by then, and the lookup needs no shuffle
-    of its own.
+    of its own. The chosen bets are stored, as they are read three times, and hot customers are
+    those of the rows that take part.
     """
-    chosen = only_ids(bets, ids)
+    chosen = stage_table(only_ids(bets, ids), "chosen_bets")
     bettors = distinct_ids(chosen, "customer_id")
     logins_of_bettors = logins.join(bettors, "customer_id", "left_semi")
     joined = (
@@ -101,8 +103,8 @@ def bets_report(
         .join(customers.select("customer_id"), "customer_id")
         .join(customer_details.select("customer_id"), "customer_id")
     )
-    # Counted on the bare tables: the joined bets would be computed twice.
-    active = bets.select("customer_id").union(logins.select("customer_id"))
+    # Counted before the joins: the joined bets would be computed twice.
+    active = chosen.select("customer_id").union(logins_of_bettors.select("customer_id"))
     hot = find_hot(active, ("customer_id",), skew)
     status = F.col("status")
     return bets_with_login(joined, logins_of_bettors, skew, hot).select(

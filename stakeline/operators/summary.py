@@ -21,12 +21,48 @@ from stakeline.functions.values import floored_difference, json_list
 from stakeline.params import CORE_TYPES
 
 SESSION_KEYS = ("csn_customer_id", "sessionid", "csn_game_id")
-MONEY = "decimal(18,2)"
 
 AMOUNT = "amount_from_balance"
 TYPE = "csn_cust_transaction_type_id"
 
 
+def amount_type(df: DataFrame) -> T.DecimalType:
+    """Decimal type that holds the amounts exactly: their own, or a wide one for other numbers.
+
+    Floating point amounts count as the decimals they print as, with up to ten places.
+    """
+    kind = df.schema[AMOUNT].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind
+    if isinstance(kind, T.IntegralType):
+        return T.DecimalType(20, 0)
+    if isinstance(kind, T.FractionalType):
+        return T.DecimalType(38, 10)
+    raise TypeError(f"{AMOUNT} must be a number, not {kind.simpleString()}")
+
+
+def sum_type(amounts: T.DecimalType) -> T.DecimalType:
+    """Money type of sums: DECIMAL(18,2) for amounts in cents, else as wide as it gets."""
+    if amounts.precision <= 18 and amounts.scale <= 2:
+        return T.DecimalType(18, 2)
+    return T.DecimalType(38, amounts.scale)
+
+
+def exact_sum(column: str, amounts: T.DecimalType) -> Column:
+    """Sum at the amounts' own scale, 0 for no amount; one too large is an error.
+
+    Amounts of up to four places add up as 64-bit whole numbers, several times faster than
+    decimals beyond 18 digits do.
+    """
+    if amounts.precision <= 18 and amounts.scale <= 4:
+        units = F.sum((F.col(column) * 10**amounts.scale).cast("long"))
+        unit = Decimal(1).scaleb(-amounts.scale)
+        total = F.coalesce(units, F.lit(0)).cast("decimal(20,0)") * F.lit(unit)
+    else:
+        total = F.coalesce(F.sum(column), F.lit(0))
+    return total.cast(sum_type(amounts))
+
+
 def with_type_flags(df: DataFrame) -> DataFrame:
     """Adds 0/1 columns per transaction kind. An unknown amount is neither paid nor unpaid."""
     kind, amount = F.col(TYPE), F.col(AMOUNT)
@@ -42,9 +78,12 @@ def with_type_flags(df: DataFrame) -> DataFrame:
 
 def with_masked_amounts(df: DataFrame) -> DataFrame:
     """Adds the amount per kind, 0 on other rows, and the id of paid rewards."""
+    money = amount_type(df)
 
     def masked(flag: str) -> Column:
-        return F.when(F.col(flag) == 1, F.col(AMOUNT)).otherwise(F.lit(0).cast(MONEY))
+        return F.when(F.col(flag) == 1, F.col(AMOUNT).cast(money)).otherwise(
+            F.lit(0).cast(money)
+        )
 
     return df.withColumns(
         {
@@ -71,11 +110,7 @@ def session_summary(
         return F.sum(flag)
 
     def money(column: str) -> Column:
-        # Whole cents add up exactly as 64-bit numbers, several times faster than decimals
-        # beyond 18 digits do; a sum too large for them is an error, never a wrong value.
-        cents = F.sum((F.col(column) * 100).cast("long"))
-        exact = F.coalesce(cents, F.lit(0)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
-        return exact.cast(MONEY).alias(column)
+        return exact_sum(column, amount_type(rows)).alias(column)
 
     measures = [
         count("is_aposta").alias("quantidade_apostas"),
@@ -105,13 +140,14 @@ def with_session_metrics(summary: DataFrame) -> DataFrame:
     The label looks at gross wins: a session that lost more than it won is still ``ganho``.
     """
     won, staked = F.col("total_ganhos"), F.col("total_apostas")
+    money = summary.schema["total_ganhos"].dataType
     return summary.withColumns(
         {
             "session_duration_seconds": seconds_between(
                 F.col("session_start"), F.col("session_end")
             ),
-            "ganhos_jogador": floored_difference(won, staked),
-            "perda_jogador": floored_difference(staked, won),
+            "ganhos_jogador": floored_difference(won, staked, money),
+            "perda_jogador": floored_difference(staked, won, money),
             "result_session": F.when(won > 0, "ganho").otherwise("perda"),
         }
     )

@@ -28,6 +28,10 @@ DAY_START_HOUR = 6
 
 MASK = "%Y-%m-%d %H:%M:%S"
 
+# Names and fallbacks of the window's text parameters.
+START_NAME, END_NAME = "data_inicio", "data_fim"
+DEFAULT_START, DEFAULT_END = "2024-01-01 00:00:00", "2024-12-31 23:59:59"
+
 
 @dataclass(frozen=True)
 class TimeWindow:
@@ -44,10 +48,10 @@ class TimeWindow:
     def from_variables(
         cls,
         variables: Mapping[str, str],
-        start_name: str = "data_inicio",
-        end_name: str = "data_fim",
-        default_start: str = "2024-01-01 00:00:00",
-        default_end: str = "2024-12-31 23:59:59",
+        start_name: str = START_NAME,
+        end_name: str = END_NAME,
+        default_start: str = DEFAULT_START,
+        default_end: str = DEFAULT_END,
     ) -> TimeWindow:
         """Named text parameters, each with a fallback."""
         return cls.of(

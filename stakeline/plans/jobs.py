@@ -6,19 +6,29 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stakeline.functions.codes import matches_core_pattern
 from stakeline.functions.times import within
 from stakeline.functions.values import int_floor
 from stakeline.operators.enrich import (
     bets_extract,
+    bets_lookup,
     dim_lookup,
     fill_forward,
-    fill_from_bets,
+    fill_from_lookup,
     find_hot_histories,
     update_attributes,
 )
-from stakeline.operators.lanes import HotKeys, merge
-from stakeline.operators.quality import require_columns, sort_transactions
+from stakeline.operators.lanes import HotKeys, all_present, merge
+from stakeline.operators.quality import (
+    duplicate_report,
+    has_rows,
+    null_report,
+    require_columns,
+    row_count,
+    sort_transactions,
+)
 from stakeline.operators.routing import route_complete, route_types
 from stakeline.operators.sessions import (
     CUSTOMER,
@@ -31,7 +41,9 @@ from stakeline.operators.sessions import (
 )
 from stakeline.operators.sports import bets_report, events_report, markets_report, sport_bet_ids
 from stakeline.operators.summary import (
+    AMOUNT,
     SESSION_KEYS,
+    TYPE,
     money_as_double,
     other_types,
     other_types_output,
@@ -40,16 +52,24 @@ from stakeline.operators.summary import (
 )
 from stakeline.params import (
     DEFAULT_SKEW,
+    ESSENTIALS,
     FIRST_SESSION_ID,
     SESSION_GAP_SECONDS,
     SkewPolicy,
     TimeWindow,
 )
 from stakeline.sources.schemas import LEDGER_VIEW
-from stakeline.sources.sinks import stage_table
-from stakeline.sources.tables import conform, scan_view
+from stakeline.sources.sinks import append_table, stage_table
+from stakeline.sources.tables import (
+    conform,
+    high_water_mark,
+    read_table,
+    scan_view,
+    table_exists,
+)
 
 TREATED_TYPE = "csn_cust_transaction_type_id_tratado"
+BRANCH = "branch"
 
 
 class OnlineGames(NamedTuple):
@@ -58,17 +78,12 @@ class OnlineGames(NamedTuple):
     nulls: DataFrame
 
 
-def online_games_job(
-    view: DataFrame, window: TimeWindow, limit: int | None = None
-) -> OnlineGames:
+def online_games_job(view: DataFrame, window: TimeWindow) -> OnlineGames:
     """Scan a window, conform, split off other types, then incomplete rows; sort the rest.
 
-    A capped scan is stored first: its rows are arbitrary, and all outputs must see the same.
+    Each output scans the view when it is used; ``store_online_games`` scans it once for all.
     """
-    scanned = scan_view(view, window, limit)
-    if limit is not None:
-        scanned = stage_table(scanned, "capped_scan")
-    rows = conform(scanned, LEDGER_VIEW).withColumn(
+    rows = conform(scan_view(view, window), LEDGER_VIEW).withColumn(
         TREATED_TYPE, int_floor(F.col("csn_cust_transaction_type_id"))
     )
     core, other = route_types(rows, TREATED_TYPE)
@@ -76,6 +91,24 @@ def online_games_job(
     return OnlineGames(sort_transactions(complete), other, nulls)
 
 
+def store_online_games(view: DataFrame, window: TimeWindow, path: str) -> OnlineGames:
+    """The outputs of ``online_games_job`` from one scan, written in a folder per branch."""
+    rows = conform(scan_view(view, window), LEDGER_VIEW).withColumn(
+        TREATED_TYPE, int_floor(F.col("csn_cust_transaction_type_id"))
+    )
+    core = matches_core_pattern(F.col(TREATED_TYPE))
+    branch = (
+        F.when(core & all_present(ESSENTIALS), "core").when(core, "nulls").otherwise("other")
+    )
+    rows.withColumn(BRANCH, branch).write.partitionBy(BRANCH).parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField(BRANCH, T.StringType())])
+    stored = view.sparkSession.read.schema(schema).parquet(path)
+    core, other, nulls = (
+        stored.where(F.col(BRANCH) == name).drop(BRANCH) for name in ("core", "other", "nulls")
+    )
+    return OnlineGames(sort_transactions(core), other, nulls)
+
+
 def enrich_game_job(
     ledger: DataFrame,
     bets: DataFrame,
@@ -89,7 +122,11 @@ def enrich_game_job(
     rows = ledger.where(within(F.col("transaction_date"), ledger_window))
     extract = bets_extract(bets, games, categories, bets_window)
     hot = find_hot_histories(rows, skew)
-    return fill_forward(fill_from_bets(rows, extract), skew, hot)
+    lookup = bets_lookup(extract)
+    if hot.values:
+        # Read by both parts of the ledger; the ledger itself is split below the join.
+        lookup = stage_table(lookup, "bets_lookup")
+    return fill_forward(rows, skew, hot, lambda part: fill_from_lookup(part, lookup))
 
 
 class SessionSummary(NamedTuple):
@@ -97,6 +134,35 @@ class SessionSummary(NamedTuple):
     other: DataFrame
 
 
+def _number_rows(
+    ledger: DataFrame, window: TimeWindow, gap: float, skew: SkewPolicy, hot: HotKeys | None
+) -> DataFrame:
+    """The window's complete rows, stored under their session's number within the customer."""
+    found = flagged_lanes(ledger_rows(ledger, window), gap, skew, hot)
+    counted = merge([count_up(lane, shared_ties=False).rows() for lane in found])
+    return stage_table(
+        counted.select(
+            "customer_transaction_id", *CUSTOMER, LOCAL, "csn_game_id", TYPE, AMOUNT,
+            "transaction_date",
+        ),
+        "numbered_rows",
+    )
+
+
+def _summaries(numbered: DataFrame, start_id: int) -> SessionSummary:
+    """Both outputs from stored numbered rows."""
+    totals = numbered.groupBy(*CUSTOMER).agg(F.max(LOCAL).alias("_sessions"))
+    shift = customer_shift(totals, "_sessions")
+    local = session_summary(numbered, session=LOCAL)
+    summary = with_session_metrics(shifted(local.join(shift, [*CUSTOMER]), "sessionid", start_id))
+    other = shifted(other_types(numbered).join(shift, [*CUSTOMER]), "sessionid", start_id)
+    measures = [c for c in summary.columns if c not in SESSION_KEYS]
+    return SessionSummary(
+        money_as_double(summary.select(*SESSION_KEYS, *measures)),
+        money_as_double(other_types_output(other)),
+    )
+
+
 def session_summary_job(
     ledger: DataFrame,
     window: TimeWindow,
@@ -107,26 +173,50 @@ def session_summary_job(
 ) -> SessionSummary:
     """Sessionize a window, summarise its sessions and list its non-core rows.
 
-    Sessions are summarised under their number within the customer and stored; ids over all
-    customers are given to the stored sessions. The ledger is thus read and sorted once, and
-    the numbers of sessions per customer come from the far smaller stored table.
+    The ledger is read, sorted and numbered once; both outputs come from the narrow rows stored
+    then. Sessions are summarised under their number within the customer, and ids over all
+    customers are given to the sessions.
     """
-    found = flagged_lanes(ledger_rows(ledger, window), gap, skew, hot)
-    counted = [count_up(lane, shared_ties=False) for lane in found]
-    local = session_summary(merge([lane.rows() for lane in counted]), session=LOCAL)
-    stored = stage_table(local, "sessions_by_customer")
-    totals = stored.groupBy(*CUSTOMER).agg(F.max(LOCAL).alias("_sessions"))
-    shift = customer_shift(totals, "_sessions")
-    summary = with_session_metrics(shifted(stored.join(shift, [*CUSTOMER]), "sessionid", start_id))
-    other = [
-        shifted(lane.with_df(other_types(lane.df)).attach(shift).rows(), "sessionid", start_id)
-        for lane in counted
-    ]
-    measures = [c for c in summary.columns if c not in SESSION_KEYS]
-    return SessionSummary(
-        money_as_double(summary.select(*SESSION_KEYS, *measures)),
-        money_as_double(other_types_output(merge(other))),
-    )
+    return _summaries(_number_rows(ledger, window, gap, skew, hot), start_id)
+
+
+class LoadReport(NamedTuple):
+    """What a load found: rows in the window, nulls per essential column, rows whose customer and
+    session occur more than once, and the id it continued from (null if it stored nothing)."""
+
+    rows: int
+    nulls: dict[str, int]
+    repeated: int
+    start_id: int | None
+
+
+def load_sessions(
+    ledger: DataFrame,
+    window: TimeWindow,
+    summary_path: str,
+    other_path: str,
+    gap: float = SESSION_GAP_SECONDS,
+    skew: SkewPolicy = DEFAULT_SKEW,
+    hot: HotKeys | None = None,
+) -> LoadReport:
+    """Append a window's sessions and non-core rows to their tables, ids continued.
+
+    Ids start above the greatest one stored; tables that do not exist yet are created. A window
+    without complete rows stores nothing. Loading a window twice stores it twice.
+    """
+    spark = ledger.sparkSession
+    found = null_report(ledger.where(within(F.col("transaction_date"), window))).first()
+    nulls = {c: found[f"{c}_nulls"] for c in ESSENTIALS}
+    numbered = _number_rows(ledger, window, gap, skew, hot)
+    if not has_rows(numbered):
+        return LoadReport(found["row_count"], nulls, 0, None)
+    repeated = row_count(duplicate_report(numbered, (*CUSTOMER, LOCAL), skew, hot), "repeated")
+    stored = read_table(spark, summary_path) if table_exists(spark, summary_path) else None
+    start_id = high_water_mark(stored)
+    summary, other = _summaries(numbered, start_id)
+    append_table(summary, summary_path)
+    append_table(other, other_path)
+    return LoadReport(found["row_count"], nulls, repeated.first()["row_count"], start_id)
 
 
 def attach_dims_job(sessions: DataFrame, games: DataFrame, categories: DataFrame) -> DataFrame:

@@ -13,7 +13,14 @@ from stakeline.functions import codes
 from stakeline.functions.times import parse_timestamp, tz_shift, within
 from stakeline.functions.values import convert, int_floor
 from stakeline.operators import enrich, lanes, quality, routing, sessions, sports, summary
-from stakeline.params import CORE_TYPES, DEFAULT_SKEW, WINS, SkewPolicy, TimeWindow
+from stakeline.params import (
+    CORE_TYPES,
+    DEFAULT_SKEW,
+    FIRST_SESSION_ID,
+    WINS,
+    SkewPolicy,
+    TimeWindow,
+)
 from stakeline.plans import jobs
 from stakeline.session import shared_dir, tune
 from stakeline.sources import schemas, sinks, tables
@@ -72,11 +79,6 @@ def _(t: Tables) -> DataFrame:
     return summary.money_as_double(tables.scan_view(t.txn, SOME))
 
 
-@query("scan_limit")
-def _(t: Tables) -> DataFrame:
-    return tables.scan_view(t.txn, ALL, limit=100)
-
-
 _BETS_EXTRACT = f"""SELECT customer_id, csn_game_id, played_date, update_date, vendor_game_name,
  csn_category_id, category_name AS csn_category_name FROM casino_customer_bets
  JOIN (SELECT * FROM csn_games, csn_categories WHERE csn_category_id = category_id) AS named_games
@@ -102,38 +104,46 @@ def _(t: Tables) -> DataFrame:
     return sinks.copy_query(_bets(t), _fresh_path(t, "casino_customer_bets_filtered"))
 
 
-@query("append_roundtrip", f"{_EXTRACT} UNION ALL {_EXTRACT}")
+_WHOLE = _EXTRACT.replace(_range("transaction_date", SOME), _range("transaction_date", ALL))
+
+
+@query("append_roundtrip", f"{_WHOLE} UNION ALL {_WHOLE}")
 def _(t: Tables) -> DataFrame:
-    rows = tables.extract_transactions(t.txn, SOME)
+    rows = tables.extract_transactions(t.txn, ALL)
     path = _fresh_path(t, "transactions_csn")
     sinks.append_table(rows, path)
     sinks.append_table(rows, path)
     return summary.money_as_double(tables.read_table(t._spark, path, rows.schema))
 
 
-@query("replace_days_roundtrip", _EXTRACT)
+@query("replace_days_roundtrip", _WHOLE)
 def _(t: Tables) -> DataFrame:
-    rows = tables.extract_transactions(t.txn, SOME)
+    rows = tables.extract_transactions(t.txn, ALL)
     path = _fresh_path(t, "transactions_by_day")
     sinks.replace_days(sinks.with_day(rows), path)
     sinks.replace_days(sinks.with_day(rows), path)
     stored = tables.read_table(t._spark, path)
     return summary.money_as_double(
-        tables.extract_transactions(stored, SOME, day_column=sinks.DAY)
+        tables.extract_transactions(stored, ALL, day_column=sinks.DAY)
     )
 
 
+# Texts that a line of a sheet cannot hold as they are.
+_NOTES = """CASE csn_customer_id % 6 WHEN 0 THEN '' WHEN 1 THEN concat('  ', tipo_name, ' ')
+ WHEN 2 THEN concat('a "b", ', tipo_name) WHEN 3 THEN concat(tipo_name, chr(10), chr(13), 'x')
+ WHEN 4 THEN concat(chr(92), 'N', chr(92), chr(92), 'n') END"""
+
+
 @query(
     "export_roundtrip",
     "SELECT CAST(customer_transaction_id AS VARCHAR) AS customer_transaction_id,"
-    " CAST(csn_customer_id AS VARCHAR) AS csn_customer_id, game_name, tipo_name FROM txn",
+    f" CAST(csn_customer_id AS VARCHAR) AS csn_customer_id, game_name, {_NOTES} AS note FROM txn",
 )
 def _(t: Tables) -> DataFrame:
-    columns = ["customer_transaction_id", "csn_customer_id", "game_name", "tipo_name"]
+    columns = ["customer_transaction_id", "csn_customer_id", "game_name", "note"]
     path = _fresh_path(t, "sheet")
-    sinks.export_sheet(t.txn, path, columns)
-    schema = ", ".join(f"{c} string" for c in columns)
-    return t._spark.read.schema(schema).option("header", True).csv(path)
+    sinks.export_sheet(t.txn.withColumn("note", F.expr(_NOTES)), path, columns)
+    return sinks.read_sheet(t._spark, path, columns)
 
 
 @query("session_hwm", "SELECT max(sessionid) + 1 AS start_id FROM session_summary_existing")
@@ -556,6 +566,69 @@ def _(t: Tables) -> DataFrame:
     return jobs.session_summary_job(t.txn, ALL, start).summary
 
 
+@query("session_summary_dense", _FULL, _summary_steps("txn_dense", gap=1200))
+def _(t: Tables) -> DataFrame:
+    start = tables.high_water_mark(t.session_summary_existing)
+    return jobs.session_summary_job(t.txn_dense, ALL, start).summary
+
+
+@query("process_sessions_dense", _FUNCTION, _shared_ids("txn_dense"))
+def _(t: Tables) -> DataFrame:
+    return sessions.process_sessions(t.txn_dense, ALL)
+
+
+_FINE_STEPS = {
+    name: sql.replace(_range("transaction_date", ALL), _range("transaction_date", ORDERS))
+    for name, sql in _summary_steps("txn_fine").items()
+}
+
+
+@query("session_summary_fine", _FULL, _FINE_STEPS)
+def _(t: Tables) -> DataFrame:
+    start = tables.high_water_mark(t.session_summary_existing)
+    return jobs.session_summary_job(t.txn_fine, ORDERS, start, LONG_GAP).summary
+
+
+# Two windows in a row, loaded one after the other.
+HALVES = (
+    TimeWindow.of("2023-12-31 06:00:00", "2024-01-15 05:59:59"),
+    TimeWindow.of("2024-01-15 06:00:00", "2024-02-01 05:59:59"),
+)
+_LOADED = {
+    **_summary_steps("txn", gap=1200),
+    "base": f"""SELECT *, CASE WHEN transaction_date > TIMESTAMP '{HALVES[0].end}' THEN 1 ELSE 0 END AS half
+ FROM txn WHERE {_COMPLETE}
+ AND ({_range("transaction_date", HALVES[0])} OR {_range("transaction_date", HALVES[1])})""",
+    "lagged": """SELECT *, lag(transaction_date) OVER w AS anterior_data, lag(csn_game_id) OVER w AS anterior_game_id
+ FROM base WINDOW w AS (PARTITION BY half, csn_customer_id ORDER BY transaction_date, customer_transaction_id)""",
+    "numbered": "SELECT *, count(*) FILTER (WHERE nova_sessao) OVER (ORDER BY half, csn_customer_id,"
+    " transaction_date, customer_transaction_id ROWS UNBOUNDED PRECEDING)"
+    f" + half + {FIRST_SESSION_ID} AS sessionid FROM flagged",
+}
+
+
+def _load_halves(t: Tables) -> tuple[DataFrame, DataFrame]:
+    paths = _fresh_path(t, "session_summary"), _fresh_path(t, "other_types")
+    for window in HALVES:
+        jobs.load_sessions(t.txn, window, *paths)
+    return tuple(tables.read_table(t._spark, path) for path in paths)
+
+
+@query("load_sessions_summary", _FULL, _LOADED)
+def _(t: Tables) -> DataFrame:
+    return _load_halves(t)[0]
+
+
+@query(
+    "load_sessions_other",
+    "SELECT csn_customer_id, sessionid, csn_cust_transaction_type_id AS type,"
+    f" CAST(amount_from_balance AS DOUBLE) AS total_amount FROM numbered WHERE {_NOT_CORE}",
+    _LOADED,
+)
+def _(t: Tables) -> DataFrame:
+    return _load_halves(t)[1]
+
+
 @query("session_summary_hot", _FULL, _summary_steps("txn_hot"))
 def _(t: Tables) -> DataFrame:
     start = tables.high_water_mark(t.session_summary_existing)
@@ -684,6 +757,25 @@ def _(t: Tables) -> DataFrame:
     return summary.money_as_double(jobs.online_games_job(t.txn, ALL).nulls)
 
 
+def _stored_games(t: Tables) -> jobs.OnlineGames:
+    return jobs.store_online_games(t.txn, ALL, _fresh_path(t, "online_games"))
+
+
+@query("online_games_stored_core", f"SELECT {_TREATED} FROM txn WHERE {_IS_CORE} AND {_COMPLETE}")
+def _(t: Tables) -> DataFrame:
+    return summary.money_as_double(_stored_games(t).core)
+
+
+@query("online_games_stored_other", f"SELECT {_TREATED} FROM txn WHERE {_NOT_CORE}")
+def _(t: Tables) -> DataFrame:
+    return summary.money_as_double(_stored_games(t).other)
+
+
+@query("online_games_stored_nulls", f"SELECT {_TREATED} FROM txn WHERE {_IS_CORE} AND NOT ({_COMPLETE})")
+def _(t: Tables) -> DataFrame:
+    return summary.money_as_double(_stored_games(t).nulls)
+
+
 # --- sports reports --------------------------------------------------------------------------
 
 
@@ -730,9 +822,7 @@ def _(t: Tables) -> DataFrame:
     return found.select(sports.MASTER, "ip_address")
 
 
-@query(
-    "bets_report",
-    """SELECT customer_id, sport_bet_master_id AS bet_master_id, ip_address,
+_BETS = """SELECT customer_id, sport_bet_master_id AS bet_master_id, ip_address,
  if(total_play = 1, '1', '2') AS bet_type,
  coalesce(map {'O': '1', 'W': '2', 'L': '3', 'V': '3', 'C': '2'}[status], '2') AS bet_status,
  CAST(bet_rate AS DOUBLE) AS fixed_odds, CAST(initial_played_amount AS DOUBLE) AS bet_amount,
@@ -741,9 +831,14 @@ def _(t: Tables) -> DataFrame:
  create_user_date - INTERVAL '3' HOUR AS bet_timestamp, update_date - INTERVAL '3' HOUR AS update_timestamp
  FROM sport_bets JOIN sport_bet_masters USING (sport_bet_master_id) JOIN logged USING (sport_bet_master_id)
  JOIN ids USING (sport_bet_master_id) JOIN customers_tdt USING (customer_id)
- JOIN customer_details_tdt USING (customer_id)""",
-    {"ids": _ids_sql(ORDERS), "logged": _login_sql("sport_bets", "customer_login_logs")},
-)
+ JOIN customer_details_tdt USING (customer_id)"""
+_BETS_STEPS = {
+    "ids": _ids_sql(ORDERS),
+    "logged": _login_sql("sport_bets", "customer_login_logs"),
+}
+
+
+@query("bets_report", _BETS, _BETS_STEPS)
 def _(t: Tables) -> DataFrame:
     return summary.money_as_double(
         sports.bets_report(
@@ -757,13 +852,12 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "events_report",
-    """SELECT fixture_id AS event_id, sport_type_id AS sport_code, league_name AS competition,
+_EVENTS = """SELECT fixture_id AS event_id, sport_type_id AS sport_code, league_name AS competition,
  fixture_information AS event_name, if(status = 'O', '4', '5') AS event_status,
- fixture_start_date AS event_start_date FROM sport_selection SEMI JOIN ids USING (sport_bet_master_id)""",
-    {"ids": _ids_sql(ORDERS)},
-)
+ fixture_start_date AS event_start_date FROM sport_selection SEMI JOIN ids USING (sport_bet_master_id)"""
+
+
+@query("events_report", _EVENTS, {"ids": _ids_sql(ORDERS)})
 def _(t: Tables) -> DataFrame:
     return sports.events_report(t.sport_selection, _ids(t, ORDERS))
 
@@ -780,9 +874,8 @@ def _(t: Tables) -> DataFrame:
     return summary.money_as_double(sports.markets_report(t.sport_selection, _ids(t, ORDERS)))
 
 
-@query("sports_report_job", _MARKETS, {"ids": _ids_sql(ORDERS)})
-def _(t: Tables) -> DataFrame:
-    reports = jobs.sports_report_job(
+def _reports(t: Tables) -> jobs.SportsReports:
+    return jobs.sports_report_job(
         t.customer_transactions_sb,
         t.customer_transaction_details,
         t.sport_bet_masters,
@@ -793,7 +886,26 @@ def _(t: Tables) -> DataFrame:
         t.customer_login_logs,
         ORDERS,
     )
-    return summary.money_as_double(reports.markets)
+
+
+@query("sports_report_job", _MARKETS, {"ids": _ids_sql(ORDERS)})
+def _(t: Tables) -> DataFrame:
+    return summary.money_as_double(_reports(t).markets)
+
+
+@query("sports_report_job_ids", _ids_sql(ORDERS))
+def _(t: Tables) -> DataFrame:
+    return _reports(t).ids
+
+
+@query("sports_report_job_bets", _BETS, _BETS_STEPS)
+def _(t: Tables) -> DataFrame:
+    return summary.money_as_double(_reports(t).bets)
+
+
+@query("sports_report_job_events", _EVENTS, {"ids": _ids_sql(ORDERS)})
+def _(t: Tables) -> DataFrame:
+    return _reports(t).events
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stakeline.functions.times import business_day
@@ -85,19 +85,72 @@ def stage_table(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     """Drop and recreate a stored result and read it back.
 
     Without a folder it goes to a fresh one under the application's id in the cluster's shared
-    checkpoint folder, which can be removed once the application has ended.
+    checkpoint folder, which ``drop_staged`` removes.
     """
     spark = df.sparkSession
     if folder is None:
-        folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid4().hex}"
+        folder = f"{_staging(spark)}/{uuid4().hex}"
     path = f"{folder}/{name}"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# How a sheet writes what a line of text cannot hold.
+NULL_TEXT = "\\N"
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+_SHEET = {"header": "true", "quote": '"', "escape": '"', "nullValue": NULL_TEXT, "emptyValue": ""}
+
+
 def export_sheet(df: DataFrame, path: str, columns: list[str]) -> None:
     """Chosen columns in fixed order with a header line, replacing earlier output.
 
-    Every task writes its own part file; nothing is gathered into one.
+    Every task writes its own part file; nothing is gathered into one. Texts keep every
+    character: a backslash is written twice, line breaks as ``\\n`` and ``\\r``, null as ``\\N``
+    and an empty text as two quotes, so a row is one line and files can be split.
+    """
+
+    def escaped(name: str) -> Column:
+        value = F.col(name).cast("string")
+        for plain, written in _ESCAPES:
+            value = F.replace(value, F.lit(plain), F.lit(written))
+        return value.alias(name)
+
+    (
+        df.select(*[escaped(c) for c in columns])
+        .write.mode("overwrite")
+        .options(**{**_SHEET, "emptyValue": '""'})
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
+def read_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The texts of an exported sheet as they were."""
+
+    def unbroken(part: Column) -> Column:
+        for plain, written in _ESCAPES[1:]:
+            part = F.replace(part, F.lit(written), F.lit(plain))
+        return part
+
+    def restored(name: str) -> Column:
+        # Pairs of backslashes from the left are backslashes; those left over begin a break.
+        parts = F.transform(F.split(F.col(name), r"\\\\", -1), unbroken)
+        return F.array_join(parts, "\\").alias(name)
+
+    rows = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).options(**_SHEET)
+    return rows.csv(path).select(*[restored(c) for c in columns])
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Deletes all tables this application has staged without a folder of its own.
+
+    For the end of a job: results that still read staged tables have to be stored before.
     """
-    df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _staging(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stakeline.functions.times import business_day, ntz, within
-from stakeline.functions.values import convert
+from stakeline.functions.values import all_digits, convert
 from stakeline.params import FIRST_SESSION_ID, TimeWindow
 
 
@@ -18,6 +18,12 @@ def read_table(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder or file at ``path``, in whatever store it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -76,18 +82,14 @@ def extract_transactions(
     )
 
 
-def scan_view(view: DataFrame, window: TimeWindow, limit: int | None = None) -> DataFrame:
-    """Whole rows of a view between two positional parameters, optionally capped.
-
-    The cap takes any ``limit`` rows: it has no order.
-    """
-    rows = view.sparkSession.sql(
+def scan_view(view: DataFrame, window: TimeWindow) -> DataFrame:
+    """Whole rows of a view between two positional parameters."""
+    return view.sparkSession.sql(
         "SELECT * FROM {view} WHERE transaction_date"
         " BETWEEN CAST(? AS TIMESTAMP_NTZ) AND CAST(? AS TIMESTAMP_NTZ)",
         args=[str(window.start), str(window.end)],
         view=view,
     )
-    return rows if limit is None else rows.limit(limit)
 
 
 def conform(
@@ -96,14 +98,27 @@ def conform(
     renames: dict[str, str] | None = None,
     strict: bool = True,
 ) -> DataFrame:
-    """Only the schema's columns, in its order and types; ``renames`` maps old to new names."""
+    """Only the schema's columns, in its order and types; ``renames`` maps old to new names.
+
+    A strict conversion to decimals refuses values whose digits would be rounded away.
+    """
     renames = renames or {}
+
+    def converted(field: T.StructField) -> Column:
+        value, kind = F.col(field.name), field.dataType
+        cast = convert(value, kind.simpleString(), strict)
+        if not strict or not isinstance(kind, T.DecimalType):
+            return cast
+        given = df.schema[field.name].dataType
+        if isinstance(given, T.IntegralType) or (
+            isinstance(given, T.DecimalType) and given.scale <= kind.scale
+        ):
+            return cast
+        return all_digits(value, cast, given, kind)
+
     return df.select(
         *[
-            convert(F.col(f.name), f.dataType.simpleString(), strict).alias(
-                renames.get(f.name, f.name)
-            )
-            for f in schema.fields
+            converted(f).alias(renames.get(f.name, f.name)) for f in schema.fields
         ]
     )
 

@@ -10,7 +10,7 @@ import pytest
 from ledger import at, ledger
 from pyspark.sql import functions as F
 
-from stakeline.operators import lanes, sessions
+from stakeline.operators import asof, enrich, lanes, sessions
 from stakeline.operators.asof import asof_last
 from stakeline.operators.enrich import fill_forward
 from stakeline.operators.quality import duplicate_report
@@ -193,6 +193,72 @@ def test_chunks_split_one_time(spark):
     assert sum(sizes) == 400 and len(sizes) >= 10 and max(sizes) <= 80
 
 
+def sizes_of(split) -> list[int]:
+    return [r["count"] for r in split.df.groupBy(lanes.CHUNK).count().collect()]
+
+
+def test_chunks_of_the_other_orders_split_one_time(spark, monkeypatch):
+    """Fill-forward and as-of rows of a customer at one time spread over chunks as well."""
+    seen = []
+    whole = lanes.lanes
+
+    def watch(*args, **options):
+        found = whole(*args, **options)
+        seen.extend(sizes_of(lane) for lane in found if lane.chunked)
+        return found
+
+    monkeypatch.setattr(enrich, "lanes", watch)
+    monkeypatch.setattr(asof, "lanes", watch)
+    rows = [(i, 1, "10:00:00", 1, 1, 5 if i == 7 else None) for i in range(400)]
+    filled = enrich.fill_forward(ledger(spark, rows), TINY)
+    assert [r.csn_game_id for r in filled.collect()].count(None) == 399
+    bets = spark.createDataFrame([(i, 1, at("10:00:00")) for i in range(400)],
+                                 "bet long, customer long, made timestamp_ntz")
+    logins = spark.createDataFrame([(1, 1, at("10:00:00"), "a")],
+                                   "log long, customer long, at timestamp_ntz, ip string")
+    got = asof_last(bets, logins, "customer", "made", "at", "ip", "found", "log", TINY)
+    assert [r.found for r in got.collect()] == ["a"] * 400
+    assert len(seen) == 2
+    for sizes in seen:
+        assert sum(sizes) >= 400 and max(sizes) <= 2 * TINY.max_rows
+
+
+@pytest.mark.parametrize("skew", [TINY, SkewPolicy()], ids=["split", "whole"])
+def test_repeated_ids_of_a_customer(spark, skew):
+    """Rows of one customer, time and id but other games: the order stays total."""
+    rng = random.Random(4)
+    rows = [
+        (i // 4, rng.choice([1, 1, 2, 3]), at("10:00:00") + timedelta(minutes=i // 40), 1, 1,
+         rng.randrange(3))
+        for i in range(600)
+    ]
+    df = ledger(spark, rows).repartition(16)
+    found = sessions.frame_sessions(df, ALL, 0, skew=skew).collect()
+    assert max(r.sessionid for r in found) == sum(r.nova_sessao for r in found)
+    owners = defaultdict(set)
+    for r in found:
+        owners[r.sessionid].add(r.csn_customer_id)
+    assert all(len(x) == 1 for x in owners.values()) and len(owners) == max(owners)
+
+
+def test_hot_keys_are_found_on_a_sample(spark):
+    skew = SkewPolicy(max_rows=20_000, sample_rows=1_000)
+    assert skew.fraction < 1
+    df = spark.range(100_000).selectExpr("CASE WHEN id < 60000 THEN 1 ELSE id END AS key")
+    hot = lanes.find_hot(df, ("key",), skew)
+    assert hot.values == [(1,)] and 50_000 < hot.rows < 70_000
+
+
+def test_long_lists_of_hot_keys_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lanes, "MOST_LISTED", 2)
+    df = spark.range(10).withColumnRenamed("id", "key")
+    for n, sent in ((2, True), (3, False)):
+        hot = lanes.HotKeys(("key",), [(i,) for i in range(n)])
+        cold, rest = hot.split(df)
+        assert ("rightHint=(strategy=broadcast" in cold._jdf.queryExecution().toString()) == sent
+        assert cold.count() == 10 - n and rest.count() == n
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_running_total_over_any_ids(spark, seed):
     rng = random.Random(seed)

@@ -6,16 +6,18 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from stakeline import registry
 from stakeline.bindings import Tables
 from stakeline.operators import sessions
+from stakeline.params import SkewPolicy
+from stakeline.plans import jobs
 from stakeline.registry import ALL, SOME
 from stakeline.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
+QUERIES = registry.queries()
 # Reports whose result is a single row, or rows per table, end in one task by nature.
-ONE_ROW = {"session_hwm", "null_report", "row_counts", "scan_limit"}
+ONE_ROW = {"session_hwm", "null_report", "row_counts"}
 
 
 def plan(df) -> str:
@@ -65,3 +67,38 @@ def test_customer_filter_reaches_the_scan(spark):
 def test_first_per_group_is_limited_before_the_shuffle(spark):
     text = plan(QUERIES["first_per_group"](spark, FOLDER))
     assert text.count("WindowGroupLimit") >= 2
+
+
+def scans(df, table: str) -> int:
+    """Scans of a test table in the plan that is not yet run."""
+    text = plan(df)
+    return len(re.findall(rf"FileScan parquet [^\n]*{table}\.parquet", text))
+
+
+def test_summary_outputs_do_not_read_the_ledger_again(spark):
+    out = jobs.session_summary_job(Tables(spark, FOLDER).txn, ALL, 5)
+    for df in out:
+        assert scans(df, "events") == 0 and "numbered_rows" in plan(df)
+
+
+def test_stored_routing_reads_the_view_once(spark, tmp_path):
+    out = jobs.store_online_games(Tables(spark, FOLDER).txn, ALL, str(tmp_path / "games"))
+    for df in out:
+        assert scans(df, "events") == 0 and "PartitionFilters: [isnotnull(branch" in plan(df)
+
+
+def test_a_hot_key_does_not_repeat_the_bets_join(spark):
+    t = Tables(spark, FOLDER)
+    df = jobs.enrich_game_job(
+        t.txn_hot, t.casino_customer_bets_hot, t.csn_games, t.csn_categories, ALL, ALL,
+        SkewPolicy(max_rows=20),
+    )
+    # Bets and dimensions are in the stored lookup, and the hot rows in stored chunks.
+    text = plan(df)
+    assert "bets_lookup" in text and "chunks" in text
+    assert scans(df, "events") == 1 and scans(df, "part") == scans(df, "nation") == 0
+
+
+def test_bets_report_counts_on_stored_bets(spark):
+    text = plan(QUERIES["bets_report"](spark, FOLDER))
+    assert "chosen_bets" in text and len(re.findall(r"FileScan parquet [^\n]*orders", text)) == 1

@@ -8,10 +8,11 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry_point
+from stakeline import registry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-ORACLES = entry_point.oracle_sql()
-QUERIES = entry_point.queries()
+ORACLES = registry.oracle_sql()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -26,12 +27,10 @@ def test_matches_sql(spark, duck, name):
     assert difference(QUERIES[name](spark, FOLDER), duck, ORACLES[name]) is None
 
 
-def test_only_the_row_cap_has_no_statement():
-    assert set(QUERIES) - set(ORACLES) == {"scan_limit"}
-
-
-def test_row_cap(spark):
-    assert QUERIES["scan_limit"](spark, FOLDER).count() == 100
+def test_every_query_has_a_statement_and_is_offered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):

@@ -13,7 +13,7 @@ from stakeline.functions.times import business_day, parse_timestamp, tz_shift
 from stakeline.functions.values import convert, int_floor
 from stakeline.operators import quality, routing, sessions, sports
 from stakeline.params import TimeWindow
-from stakeline.plans.jobs import online_games_job, sports_report_job
+from stakeline.plans.jobs import online_games_job, sports_report_job, store_online_games
 from stakeline.session import shared_dir
 from stakeline.sources import schemas, sinks, tables
 
@@ -85,11 +85,11 @@ def test_bet_type_and_system(spark):
 
 
 def test_conform_selects_renames_and_types(spark):
-    df = spark.createDataFrame([("x", "7", "1.239")], "extra string, id string, money string")
+    df = spark.createDataFrame([("x", "7", "1.2300")], "extra string, id string, money string")
     schema = schemas._schema(money=schemas.MONEY, id=schemas.ID)
     got = tables.conform(df, schema, renames={"id": "key"})
     assert got.dtypes == [("money", "decimal(18,2)"), ("key", "bigint")]
-    assert got.first() == (Decimal("1.24"), 7)
+    assert got.first() == (Decimal("1.23"), 7)
     bad = spark.createDataFrame([("x",)], "id string")
     with pytest.raises(PySparkException):
         tables.conform(bad, schemas._schema(id=schemas.ID)).collect()
@@ -125,8 +125,37 @@ def test_online_games_job(spark):
     assert [r.customer_transaction_id for r in out.core.collect()] == [2, 1, 3]
     assert {r.customer_transaction_id for r in out.other.collect()} == {5, 6}
     assert {r.customer_transaction_id for r in out.nulls.collect()} == {4}
-    capped = online_games_job(spark.createDataFrame(rows, columns), DAY, 4)
-    assert sum(part.count() for part in capped) == 4
+
+
+def test_strict_conform_loses_no_digits(spark):
+    schema = schemas._schema(money=schemas.MONEY)
+    for kind, good, bad in (
+        ("string", "-1.5", "1.239"),
+        ("double", 0.29, 0.291),
+        ("decimal(18,4)", Decimal("0.2900"), Decimal("0.0050")),
+        ("decimal(38,18)", Decimal("0.29"), Decimal("0.290000000000000001")),
+    ):
+        df = spark.createDataFrame([(good,), (None,)], f"money {kind}")
+        got = [r.money for r in tables.conform(df, schema).collect()]
+        assert got == [Decimal(str(good)), None]
+        df = spark.createDataFrame([(bad,)], f"money {kind}")
+        with pytest.raises(PySparkException, match="does not fit"):
+            tables.conform(df, schema).collect()
+        assert tables.conform(df, schema, strict=False).first().money is not None
+
+
+def test_stored_online_games(spark, tmp_path):
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.LEDGER_VIEW)
+    rows = [
+        (i, kind, i % 3 or None, None, at("10:00:00"), "9", None, i % 4 or None, "g", "t", None)
+        for i, kind in enumerate([1, 2, 3, None, 8, 15, 1, 4, 2, 8, 1, 2, 15])
+    ]
+    df = spark.createDataFrame(rows, columns)
+    one, other = online_games_job(df, DAY), store_online_games(df, DAY, str(tmp_path / "out"))
+    for a, b in zip(one, other, strict=True):
+        assert a.dtypes == b.dtypes and a.collect() and sorted(map(str, a.collect())) == sorted(
+            map(str, b.collect())
+        )
 
 
 def test_quality_reports(spark):
@@ -210,6 +239,29 @@ def test_sheet_has_header_and_order(spark, tmp_path):
     assert part.read_text() == "x\n1\n"
 
 
+def test_sheet_keeps_texts(spark, tmp_path):
+    texts = [
+        "  padded ", "", None, "two\nlines", "a\r\nb", 'say "hi"', '"', "a,b", "\\N", "\\\\n", "\\",
+        "end\\", "#x", "\t", "null", "é漢",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, note string")
+    path = str(tmp_path / "sheet")
+    sinks.export_sheet(df, path, ["note", "id"])
+    back = sinks.read_sheet(spark, path, ["note", "id"])
+    assert {int(r.id): r.note for r in back.collect()} == dict(enumerate(texts))
+    # A row is one line, so files can be split.
+    lines = [x for p in (tmp_path / "sheet").glob("part-*") for x in p.read_text().split("\n")[1:-1]]
+    assert len(lines) == len(texts)
+
+
+def test_staged_tables_can_be_dropped(spark):
+    staged = sinks.stage_table(spark.range(3), "t")
+    folder = staged.inputFiles()[0].rsplit("/t/", 1)[0]
+    assert tables.table_exists(spark, folder)
+    sinks.drop_staged(spark)
+    assert not tables.table_exists(spark, folder)
+
+
 class Recorder:
     """Stands in for a reader or writer and keeps the options it is given."""
 

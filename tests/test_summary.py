@@ -2,11 +2,16 @@ from __future__ import annotations
 
 import json
 
+from datetime import timedelta
+from decimal import Decimal
+
+import pytest
 from ledger import at, ledger
+from pyspark.sql import functions as F
 
 from stakeline.operators import summary
-from stakeline.params import TimeWindow
-from stakeline.plans.jobs import session_summary_job
+from stakeline.params import FIRST_SESSION_ID, TimeWindow
+from stakeline.plans.jobs import load_sessions, session_summary_job
 
 DAY = TimeWindow.of("2024-10-07 06:00:00", "2024-10-08 05:59:59")
 
@@ -65,3 +70,61 @@ def test_other_types_keep_rows_without_type(spark):
     }
     flags = summary.with_type_flags(df).where("csn_cust_transaction_type_id is null").first()
     assert not any(flags[c] for c in ("is_aposta", "is_ganho", "is_recompensa"))
+
+
+@pytest.mark.parametrize(
+    ("kind", "amounts", "want"),
+    [
+        ("double", [0.29] * 10, "2.90"),
+        ("double", [1.15, 4.35, None], "5.50"),
+        ("float", [0.5, 0.25], "0.75"),
+        ("decimal(18,4)", ["0.0050"] * 100 + [None], "0.50"),
+        ("decimal(18,2)", ["0.29", None, "-0.01"], "0.28"),
+        ("decimal(9,3)", ["0.001"] * 7, "0.007"),
+        ("decimal(38,18)", ["0.000000000000000001", "1"], "1.000000000000000001"),
+        ("decimal(18,18)", ["0.999999999999999999"] * 20, "19.99999999999999998"),
+        ("long", [3, None, 4], "7"),
+        ("double", [None], "0"),
+    ],
+)
+def test_sums_are_exact(spark, kind, amounts, want):
+    exact = kind.startswith("decimal")
+    rows = [(i, Decimal(a) if exact and a is not None else a) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, f"customer_transaction_id long, amount_from_balance {kind}")
+    for column in ("csn_customer_id", "sessionid", "csn_game_id", "csn_cust_transaction_type_id"):
+        df = df.withColumn(column, F.lit(1).cast("long"))
+    df = df.withColumn("transaction_date", F.lit(at("10:00:00")))
+    row = summary.with_session_metrics(summary.session_summary(df)).first()
+    assert row.total_apostas == row.perda_jogador == Decimal(want)
+    assert row.total_ganhos == row.ganhos_jogador == 0
+
+
+def test_amounts_must_be_numbers(spark):
+    df = ledger(spark, [(1, 1, "10:00:00", 1, 1, 1)])
+    text = df.withColumn("amount_from_balance", F.col("amount_from_balance").cast("string"))
+    with pytest.raises(TypeError, match="must be a number"):
+        session_summary_job(text, DAY)
+
+
+def test_loads_in_a_row(spark, tmp_path):
+    rows = [(i, i % 3, at("10:00:00") + timedelta(hours=i), [1, 3][i % 2], 1, 1) for i in range(12)]
+    rows.append((50, 1, "10:30:00", 1, 1, None))
+    table = ledger(spark, rows)
+    paths = str(tmp_path / "summary"), str(tmp_path / "other")
+    empty = TimeWindow.of("2024-01-01 00:00:00", "2024-01-02 00:00:00")
+    assert load_sessions(table, empty, *paths) == (0, dict.fromkeys(
+        ("transaction_date", "csn_customer_id", "csn_game_id"), 0), 0, None)
+    assert not (tmp_path / "summary").exists()
+    one = TimeWindow.of("2024-10-07 06:00:00", "2024-10-07 14:59:59")
+    two = TimeWindow.of("2024-10-07 15:00:00", "2024-10-08 05:59:59")
+    first = load_sessions(table, one, *paths)
+    assert first.rows == 6 and first.nulls["csn_game_id"] == 1 and first.repeated == 0
+    assert first.start_id == FIRST_SESSION_ID
+    second = load_sessions(table, two, *paths)
+    assert second.start_id == FIRST_SESSION_ID + 5 + 1
+    ids = sorted(r.sessionid for r in spark.read.parquet(paths[0]).collect())
+    assert ids == [FIRST_SESSION_ID + n for n in (1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13)]
+    assert spark.read.parquet(paths[1]).count() == 6
+    # Rows of one session share customer and session.
+    again = ledger(spark, [(i, 1, f"10:0{i}:00", 1, 1, 1) for i in range(4)])
+    assert load_sessions(again, DAY, *paths).repeated == 4
