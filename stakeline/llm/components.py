@@ -15,16 +15,23 @@ def _oriented(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _stored(least: DataFrame) -> DataFrame:
+    """A node's least neighbour, written: read back it is a join side of its own, so Spark can split
+    the edges of a node that has very many; beside the sums it could not."""
+    return stage_table(least, "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Ties every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = _stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")))
+    tied = both.where("b > a").join(least, "a")
+    return tied.select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Ties a node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = _stored(edges.groupBy("a").agg(F.min("b").alias("least")))
     tied = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return tied.unionByName(least.select("a", F.col("least").alias("b")))
 

@@ -204,8 +204,9 @@ def _per_document(counted: DataFrame, stretches: DataFrame) -> DataFrame:
         F.size(F.array_distinct(hit)).alias("n_hit"),
         "items",
     )
+    found = stage_table(found, "hit_documents")
     same = F.col("__id").eqNullSafe(F.col("__hit_id")) & (F.col("__text") == F.col("__hit_text"))
-    return counted.join(found, same, "left")
+    return counted.join(sized(found, ITEM_ROWS), same, "left")
 
 
 def _contamination(

@@ -221,9 +221,12 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int)
     named = distinct.join(grouped, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "first", F.coalesce("component", "fingerprint").alias("group")
     )
+    # Joins with a sum over their own key cannot be split where a group is large; with a stored
+    # table they can. One row per fingerprint here; copies of a text only meet the last join.
+    named = stage_table(named, "groups")
     least = named.groupBy("group").agg(F.min("first").alias("component_id"))
-    # One row per fingerprint on this side; copies of a text only meet the join with it.
-    return prints.join(named.join(least, "group").drop("first"), "fingerprint")
+    named = named.join(stage_table(least, "least_ids"), "group").drop("first")
+    return prints.join(named, "fingerprint")
 
 
 def text_hash(text: str) -> Column:
@@ -264,7 +267,7 @@ def keep_one(
     """
     found = stage_table(_classes(docs, doc_id, text, shingle, radius), "classes")
     own = F.struct(F.col("id").isNull(), "id", "text_hash")
-    keepers = found.groupBy("group").agg(F.min(own).alias("keeper"))
+    keepers = stage_table(found.groupBy("group").agg(F.min(own).alias("keeper")), "keepers")
     rows = found.join(keepers, "group").select(
         F.col("id").alias("__id"),
         F.col("text_hash").alias("__hash"),

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from stakeline.llm.common import as_bytes, sized
 from stakeline.session import shared_dir
+from stakeline.sources.sinks import stage_table
 
 # Least payload that is stored once only, and most bytes of a chunk.
 REVISIT_BYTES = 1000
@@ -68,6 +69,8 @@ def with_revisits(pages: DataFrame, page_id: str, url: str, payload: str) -> Dat
         .where("n > 1 AND holder IS NOT NULL")
         .drop("n")
     )
+    # Stored, so that the join can be split where a payload is very frequent.
+    repeated = stage_table(repeated, "repeated_payloads")
     revisits = ~F.col("id").eqNullSafe(F.col("holder")) & F.col("holder").isNotNull()
     return rows.join(sized(repeated), F.col("payload_digest") == F.col("digest"), "left").select(
         "id",
