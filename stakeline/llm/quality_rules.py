@@ -27,7 +27,7 @@ BUCKETS = 1 << 14
 # n-grams says little, so small corpora do not condemn documents for their rare words.
 PRIOR_COUNT = 100
 # Mean log ratio below which a document reads unlike the trusted text.
-THRESHOLD = -0.12
+THRESHOLD = -0.2
 
 LEAST_WORDS = 20
 WINDOW = 8
