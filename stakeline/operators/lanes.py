@@ -59,9 +59,20 @@ class HotKeys:
         """Rows of hot keys."""
         return self._join(df, "left_semi")
 
+    def among(self, df: DataFrame) -> HotKeys:
+        """Those of the keys that occur in ``df``."""
+        if not self.values:
+            return self
+        found = self._listed(df).join(df, [*self.columns], "left_semi").collect()
+        return replace(self, values=[tuple(row) for row in found])
+
+    def _listed(self, df: DataFrame) -> DataFrame:
+        return df.sparkSession.createDataFrame(
+            self.values, df.select(*self.columns).schema
+        )
+
     def _join(self, df: DataFrame, how: str) -> DataFrame:
-        schema = df.select(*self.columns).schema
-        listed = df.sparkSession.createDataFrame(self.values, schema)
+        listed = self._listed(df)
         # A caller's list may be of any length.
         listed = F.broadcast(listed) if len(self.values) <= MOST_LISTED else listed
         return df.join(listed, [*self.columns], how)

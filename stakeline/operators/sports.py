@@ -92,8 +92,7 @@ def bets_report(
 
     A few days of bets meet a whole history of logins, so logins of other customers are dropped
     first. That partitions the logins as the bets are by then, and the lookup needs no shuffle
-    of its own. The chosen bets are stored, as they are read three times, and hot customers are
-    those of the rows that take part.
+    of its own. The chosen bets are stored, as they are read three times.
     """
     chosen = stage_table(only_ids(bets, ids), "chosen_bets")
     bettors = distinct_ids(chosen, "customer_id")
@@ -103,9 +102,10 @@ def bets_report(
         .join(customers.select("customer_id"), "customer_id")
         .join(customer_details.select("customer_id"), "customer_id")
     )
-    # Counted before the joins: the joined bets would be computed twice.
-    active = chosen.select("customer_id").union(logins_of_bettors.select("customer_id"))
-    hot = find_hot(active, ("customer_id",), skew)
+    # Counted before the joins, which would be computed twice; customers without a bet are no
+    # longer hot once their logins are dropped.
+    active = chosen.select("customer_id").union(logins.select("customer_id"))
+    hot = find_hot(active, ("customer_id",), skew).among(bettors)
     status = F.col("status")
     return bets_with_login(joined, logins_of_bettors, skew, hot).select(
         "customer_id",

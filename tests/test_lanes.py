@@ -249,6 +249,12 @@ def test_hot_keys_are_found_on_a_sample(spark):
     assert hot.values == [(1,)] and 50_000 < hot.rows < 70_000
 
 
+def test_hot_keys_among_others(spark):
+    hot = lanes.HotKeys(("key",), [(1,), (2,), (3,)], 99.0)
+    df = spark.createDataFrame([(2,), (2,), (5,), (None,)], "key bigint")
+    assert hot.among(df) == lanes.HotKeys(("key",), [(2,)], 99.0)
+
+
 def test_long_lists_of_hot_keys_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(lanes, "MOST_LISTED", 2)
     df = spark.range(10).withColumnRenamed("id", "key")
