@@ -91,6 +91,14 @@ def test_random_rules(spark):
     assert url_rules.judge_urls(pages(spark, rows), table.limit(0)).where("rule IS NULL").count() == 900
 
 
+def test_plan_has_no_python(spark):
+    prepare(spark)
+    rules = spark.createDataFrame(url_rules.RULES, "verdict string, host string, path string")
+    found = url_rules.judge_urls(read(spark, FOLDER, "pages"), rules)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
 # --- main text --------------------------------------------------------------------------------
 
 ARTICLES = [
@@ -102,6 +110,8 @@ ARTICLES = [
     ("<article>5 < 6 &lt;p&gt; <p title='a>b'>c</article>", "5 < 6 <p> c"),
     ("<div role=main>text<footer>no</footer></div>", "text"),
     ("<article>cut <p cla", "cut"),
+    ("<article><p title='a class=ad hidden' data-class=\"ad\">kept</p></article>", "kept"),
+    ("<article><p Class = ad>no</p><p HIDDEN>no</p><p aria-hidden='false'>yes</p></article>", "yes"),
     ("<nav><article>no</article></nav><article></article>", ""),
     ("<article hidden>no</article><article>yes<p hidden>no</p></article>", "yes"),
     ("<ARTICLE>Caps<STYLE>p{}</STYLE></ARTICLE>", "Caps"),
