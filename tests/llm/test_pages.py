@@ -125,6 +125,42 @@ def test_marked_articles(page, want):
     assert page_text.article_text(page) == want
 
 
+MARKED_BY_NAMES = [
+    ("<main class='site-main no-sidebar'>text</main>", "text"),
+    ("<article class='post category-social comments-open'>text</article>", "text"),
+    ("<div class='with-sidebar'><article>text<p class=ad-slot>no</p></article></div>", "text"),
+    ("<div class=sidebar><article>text</article></div>", "text"),
+    ("<div class=promo><div class=social><main id=notice>text</main></div></div>", "text"),
+    ("<div role=main class='share with-sidebar'>text</div>", "text"),
+    ("<article>the longer text</article><div class=sidebar><article>no</article></div>",
+     "the longer text"),
+    ("<article>a</article><div class=comments><article>a reader's long words</article></div>", "a"),
+    ("<article>a<article class=comment>a reader's long words</article></article>", "a"),
+    ("<nav><div class=social><article>no</article></div></nav><main>text</main>", "text"),
+    ("<article><div class=search>no<div class=no-search>no</div></div>text</article>", "text"),
+    # Ends that HTML leaves out.
+    ("<article>a<p class='ad'>no<p>b<p class=ad>no<div>c</div>d</article>", "a b c d"),
+    ("<article><ul><li class='notice'>no<li>a<ul><li class=ad>no</ul>b<li>c</ul></article>",
+     "a b c"),
+    ("<main><dl><dt class=ad>no<dd>a<dt>b<dd class=ad>no<dt>c</dl></main>", "a b c"),
+    ("<main><table><tr><td class=ad>no<td>a<tr class=ad><td>no<tr><td>b<table><tr><td class=ad>no"
+     "</table>c</table>d</main>", "a b c d"),
+    ("<main><p class=ad>no<table><tr><td>a</table></main>", "a"),
+    ("<main><li class=ad><b>no</b><div><p>no</p></div><li>a</main>", "a"),
+    ("<main>a<select><option class=ad>no<option>no</select>b</main>", "a b"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), MARKED_BY_NAMES)
+def test_names_and_ends_left_out(page, want):
+    assert page_text.article_text(page) == want
+
+
+def test_deep_markup_is_read_in_one_pass():
+    deep = "<div class=social>" * 50_000 + "<article>" * 50_000 + "text"
+    assert page_text.article_text(deep) == "text"
+
+
 def test_whole_table(spark):
     """The test pages have one template, which a few patterns can read."""
     import html
