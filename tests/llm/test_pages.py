@@ -211,6 +211,50 @@ def test_repeats_of_a_host_go_and_unique_runs_stay(spark):
     assert len(got) == len(rows)
 
 
+def test_near_copies_and_quotes_stay(spark):
+    prepare(spark)
+    menu = "Home News Sport Weather Travel Money Health Video About Us"
+    first = [f"copy{k}" for k in range(40)]
+    rows, want = [], {}
+
+    def add(host, body, *, around="<div>{}</div>", more=""):
+        n = len(rows)
+        rows.append((n, f"http://{host}.com/{n}", around.format(body) + more))
+        want[n] = " ".join(re.sub("<[^>]*>", " ", body).split())
+
+    # Near copies, one word changed at either end or inside, without and with a menu on the host.
+    for host, around in (("pair", "<p>{}</p>"), ("menu", f"<p>{menu}</p><p>{{}}</p><p>{menu}</p>")):
+        for at in (5, 20, 39):
+            add(host, " ".join([*first[:at], f"new{at}", *first[at + 1 :]]), around=around)
+    for n in range(3):
+        own = " ".join(f"page{n}word{k}" for k in range(40))
+        add("menu", own, around=f"<p>{menu}</p><p>{{}}</p><p>{menu}</p>")
+    # Different articles that quote the same passage.
+    quote = " ".join(f"quoted{k}" for k in range(12))
+    for n in range(2):
+        own = " ".join(f"article{n}word{k}" for k in range(30))
+        add("quote", f"<p>{own}</p><p>before{n} {own} {quote} after{n}</p>")
+    # A menu of another page, and a comment of the same one, that hold words of the article.
+    own = " ".join(f"told{k}" for k in range(30))
+    add("told", f"<p>{own} end</p>", more=f"<nav>{own}</nav>")
+    add("reader", f"<p>{own}</p><p>more</p>", more=f"<div class=comments><nav>x</nav>{own}</div>")
+    got = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
+def test_many_near_copies_are_one_class(spark):
+    """Links through the least stream of a bucket reach all of a large group."""
+    prepare(spark)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for n in range(300):
+        own = list(base)
+        own[n % 60] = f"new{n}"
+        rows.append((n, "http://hot.com/", f"<p>{' '.join(own)}</p>"))
+    got = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert got == {n: page[3:-4] for n, _, page in rows}
+
+
 # --- archives ---------------------------------------------------------------------------------
 
 
