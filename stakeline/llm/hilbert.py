@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Every dimension is quantised into cells by quantiles over all rows, the cells of a row are a point
+Every dimension is quantised into cells by quantiles over all rows (strings by their whole values,
+in byte order), the cells of a row are a point
 of a grid, and the rows are put in the order in which a Hilbert curve visits the points. Runs of
 that order are the shards: rows close in all dimensions lie close together, so each shard covers a
 small box of the dimensions and readers can skip files by any of them.
@@ -14,11 +15,12 @@ texts have size 8 and the checksum of an empty text. An empty table gives an emp
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeline.llm.common import numbered, slices
@@ -30,8 +32,6 @@ LAW = "rows"
 BITS = 6
 # Bytes added to the size of a row beside its text.
 ROW_BYTES = 8
-# Leading bytes of a string that are compared.
-_LEADING = 7
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
@@ -62,24 +62,69 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
+def _is_string(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() == "string"
+
+
 def _measure(df: DataFrame, dimension: str) -> Column:
-    """A number that orders the values of a dimension; strings go by their leading bytes."""
-    if df.schema[dimension].dataType.typeName() != "string":
-        return F.col(dimension).cast("double")
-    lead = F.rpad(F.hex(F.substring(F.encode(dimension, "UTF-8"), 1, _LEADING)), 2 * _LEADING, "0")
-    return F.conv(lead, 16, 10).cast("double")
+    """What orders the values of a dimension: a number, or the whole string."""
+    return F.col(dimension) if _is_string(df, dimension) else F.col(dimension).cast("double")
+
+
+def _string_cuts(measured: DataFrame, column: str, parts: int) -> list[str]:
+    """The values at which each further 1/parts of the rows that have one is reached.
+
+    Rows are counted per value, and counts added up in slices of the values' order; the driver
+    receives a row per slice, and one per cut at most.
+    """
+    spark = measured.sparkSession
+    counts = measured.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).count()
+    sliced = counts.repartitionByRange(slices(spark), "value")
+    stored = stage_table(sliced.withColumn("slice", F.spark_partition_id()), "value_counts")
+    sizes = stored.groupBy("slice").agg(F.sum("count")).orderBy("slice").collect()
+    if not sizes:
+        return []
+    totals = np.cumsum([0, *(rows for _, rows in sizes)]).tolist()
+    begins = spark.createDataFrame(
+        [(number, before) for (number, _), before in zip(sizes, totals, strict=False)],
+        "slice int, before bigint",
+    )
+    running = Window.partitionBy("slice").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    n = totals[-1]
+    # Cuts reached with this value's rows, and before them.
+    reached = (
+        stored.withColumn("own", F.sum("count").over(running))
+        .join(F.broadcast(begins), "slice")
+        .withColumn("upto", F.col("own") + F.col("before"))
+        .selectExpr(
+            "value",
+            f"least(upto * {parts} DIV {n}, {parts - 1}) AS reached",
+            f"(upto - count) * {parts} DIV {n} AS reached_before",
+        )
+        .where("reached > reached_before")
+        .collect()
+    )
+    return sorted(r["value"] for r in reached for _ in range(r["reached"] - r["reached_before"]))
 
 
 PLACED = pa.schema([("place", pa.int64())])
 
 
 def _place_batches(
-    batches: Iterator[pa.RecordBatch], cuts: list[list[float]], bits: int
+    batches: Iterator[pa.RecordBatch], cuts: list[list[float] | list[str]], bits: int
 ) -> Iterator[pa.RecordBatch]:
     n = len(cuts)
     for rows in batches:
         cells = []
         for column, edges in zip(rows.columns[:n], cuts, strict=True):
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                found = column.dictionary_encode()
+                cell = [bisect_left(edges, v) for v in found.dictionary.to_pylist()]
+                which = found.indices.fill_null(len(cell)).to_numpy()
+                cells.append(np.array([*cell, 0], np.int64)[which])
+                continue
             values = column.to_numpy(zero_copy_only=False).astype(np.float64)
             cells.append(np.searchsorted(np.array(edges), values, side="left"))
             cells[-1][np.isnan(values)] = 0
@@ -120,11 +165,20 @@ def shard(
     names = [f"d{i}" for i in range(len(dimensions))]
     found = measured.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(c, levels, 10_000).alias(c) for c in names],
+        *[
+            F.percentile_approx(c, levels, 10_000).alias(c)
+            for c in names
+            if not _is_string(measured, c)
+        ],
     ).first()
     # Equal quantiles stay: a frequent value takes up as much of its axis as it has rows, so few
     # values are spread over the whole axis.
-    cuts = [sorted(found[c] or []) for c in names]
+    cuts = [
+        _string_cuts(measured, c, 1 << bits)
+        if _is_string(measured, c)
+        else sorted(found[c] or [])
+        for c in names
+    ]
     placed = measured.mapInArrow(
         lambda batches: _place_batches(batches, cuts, bits),
         "id bigint, size bigint, text_crc32 bigint, place bigint",

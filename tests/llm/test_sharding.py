@@ -56,6 +56,28 @@ def test_shards_cover_small_boxes(spark):
     assert np.mean(langs) < 3 and np.mean(sources) < 13
 
 
+def test_strings_are_cut_by_their_whole_values(spark):
+    prepare(spark)
+    values = [f"https://example.org/{'é' * 30}/{k:02}" for k in range(16)]
+    rows = [(i, "same", values[i % 16]) for i in range(640)] + [(i, "same", None) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = hilbert.shard(docs, ["source"], shards=11).join(
+        docs.select("doc_id", "source"), "doc_id"
+    )
+    of_source = found.where("doc_id >= 64").groupBy("source").agg({"place": "min"}).collect()
+    # Sixteen sources of equal size: every fourth of 64 cells, in the order of the sources.
+    assert [place for _, place in sorted(of_source)] == list(range(0, 64, 4))
+
+
+@pytest.mark.parametrize("rows", [[], [None], ["b"], ["a"] * 3 + ["b"] * 40 + ["c"] + [None] * 9])
+def test_string_cuts_by_brute_force(spark, rows):
+    prepare(spark)
+    table = spark.createDataFrame([(v,) for v in rows], "d string")
+    values = sorted(v for v in rows if v is not None)
+    want = [values[-(-k * len(values) // 8) - 1] for k in range(1, 8)] if values else []
+    assert hilbert._string_cuts(table, "d", 8) == want
+
+
 def test_written_shards_hold_all_rows_in_order(spark, tmp_path):
     docs = read(spark, FOLDER, "documents")
     hilbert.write_shards(docs, hilbert.shard(docs, DIMENSIONS, shards=3), str(tmp_path / "out"))
