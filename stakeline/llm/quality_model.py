@@ -279,7 +279,8 @@ def train(
     """Word vectors of all documents and a network fitted on at most ``sample`` labelled ones.
 
     Learns from documents that are not held out. The sample is those first in order of a hash of
-    their ids. An id with several labels has the least of them.
+    their ids. An id with several labels has the least of them, and one with several rows counts
+    once, with the text of the least hash, so that no more rows than that reach the driver.
     """
     sc = docs.sparkSession.sparkContext
     vectors = word_vectors(docs, text)
@@ -296,7 +297,9 @@ def train(
     sent = sc.broadcast(vectors)
     rows = (
         docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
-        .select(text, "__y", "__order")
+        .groupBy("__id", "__y", "__order")
+        .agg(F.min(F.struct(F.xxhash64(text), F.col(text).alias("text"))).alias("least"))
+        .select("least.text", "__y", "__order")
         .mapInArrow(
             lambda batches: _pool_batches(batches, sent.value),
             "x array<double>, y double, o bigint",

@@ -56,6 +56,23 @@ def test_odd_rows_get_scores(spark, scored):
     assert kept.count() == sum(r.predicted for r in rows)
 
 
+def test_repeated_ids_count_once(spark, monkeypatch):
+    prepare(spark)
+    rows = [(i, f"some words number {i} of a text") for i in range(40)]
+    rows += [(7, f"another text {i % 3} under one id") for i in range(60)] + [(7, None)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    given = []
+    monkeypatch.setattr(model, "fit", lambda x, y: given.append((x, y)))
+    vectors, _ = model.train(docs, labels)
+    model.train(docs.repartition(5), labels)
+    (x, y), again = given
+    learnt = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert 7 in learnt and len(x) == len(y) == len(learnt)
+    assert np.array_equal(x, again[0]) and np.array_equal(y, again[1])
+    assert model.train(docs, labels, sample=9) and len(given[2][0]) == 9
+
+
 @pytest.mark.parametrize(("labels", "want"), [([], 0.5), ([(4, 1), (9, 1)], 1.0)])
 def test_labels_that_teach_nothing(spark, labels, want):
     prepare(spark)
