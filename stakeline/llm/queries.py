@@ -1,4 +1,4 @@
-"""The ten operators of this package as registered queries over the test tables."""
+"""The operators of this package as registered queries over the test tables."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from stakeline.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    substrings,
     url_rules,
     warc,
 )
@@ -161,3 +162,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_html_extraction")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return page_text.extract_text(read(spark, folder, "pages"))
+
+
+@query("op11_substring_dedup")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, folder, "documents"))

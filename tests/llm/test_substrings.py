@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from fixtures import TINY, documents, texts
+
+from stakeline.llm import substrings
+from stakeline.llm.common import read
+
+
+def brute(rows, length):
+    """Every window of every row counted, every byte marked."""
+    values = [(t or "").encode() for _, t in rows]
+    seen = Counter(v[p : p + length] for v in values for p in range(len(v) - length + 1))
+    found = []
+    for (doc_id, _), v in zip(rows, values, strict=True):
+        gone = np.zeros(len(v) + 1, bool)
+        for p in range(len(v) - length + 1):
+            if seen[v[p : p + length]] > 1:
+                gone[p : p + length] = True
+        gone = gone[:-1]
+        spans = int(np.count_nonzero(gone[:1])) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
+        kept = np.frombuffer(v, np.uint8)[~gone].tobytes()
+        found.append((doc_id, len(v), int(gone.sum()), spans, sha256(kept).hexdigest()))
+    return found
+
+
+def check(docs, rows, length):
+    found = substrings.remove_repeats(docs, length=length)
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(brute(rows, length), key=str)
+    return got
+
+
+def test_lengths():
+    assert substrings.lengths(400) == [128, 366, 400]
+    for length in range(8, 3000):
+        sizes = substrings.lengths(length)
+        top = 1 << (length.bit_length() - 1)
+        assert sizes[-1] == length and sizes[0] >= 8
+        assert length + (length - sizes[0]) <= 3 * top
+        assert all(s <= top or s - top <= top for s in sizes)
+    with pytest.raises(ValueError, match="8 bytes"):
+        substrings.lengths(7)
+
+
+def test_odd_rows(spark):
+    rows = texts()
+    got = check(documents(spark, rows), rows, 400)
+    assert sum(r[2] > 0 for r in got) >= 5
+
+
+def test_whole_table(spark):
+    docs = read(spark, TINY, "documents").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    got = check(docs, rows, 400)
+    assert sum(r[2] > 0 for r in got) > 5
+
+
+@pytest.mark.parametrize("length", [8, 13, 24, 40])
+def test_random_texts(spark, length):
+    rng = random.Random(length)
+    pool = ["".join(rng.choice("abcd") for _ in range(rng.randrange(5, 90))) for _ in range(12)]
+    rows = []
+    for i in range(120):
+        parts = [rng.choice(pool) for _ in range(rng.randrange(4))]
+        cut = [p[rng.randrange(len(p)) :] for p in parts]
+        rows.append((i, "".join(cut) + "é" * rng.randrange(3) + str(rng.random()) * rng.randrange(2)))
+    rows += [(200, "a" * 300), (201, "ab" * 100), (202, "a" * length), (203, "b" + "a" * (length - 1))]
+    rows += [rows[0], rows[5], (None, rows[7][1])]
+    check(documents(spark, rows), rows, length)
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "PIECE", 500)
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh") for _ in range(4000))
+    values = [base, base[1000:3000] + base[:700], base[333:] + "x" + base[5:1800], base[::-1]]
+    asked = [[(0, len(v), 1)] for v in values]
+    for size in substrings.lengths(40):
+        cut = list(substrings._text_runs([v.encode() for v in values], None, size, 40))
+        same = list(substrings._text_runs([v.encode() for v in values], asked, size, 40))
+        for a, b in zip(cut, same, strict=True):
+            assert all((x == y).all() for x, y in zip(a, b, strict=True))
+        covered = Counter()
+        for owner, _, _, lo, hi, _ in cut:
+            for o, a, b in zip(owner, lo, hi, strict=True):
+                covered.update((int(o), p) for p in range(a, b))
+        assert covered == Counter((i, p) for i, v in enumerate(values) for p in range(len(v) - 39))
+
+
+def test_spans_and_kept_bytes(spark):
+    shared = "0123456789" * 3
+    docs = documents(spark, [(1, "left " + shared + " right"), (2, shared), (3, "é" + shared[1:])])
+    ranges = substrings.repeated_ranges(docs, length=25)
+    rows = substrings.cut_texts(docs, ranges, length=25).collect()
+    assert sorted((r.spans, bytes(r.kept)) for r in rows) == [
+        ("0:30", b""),
+        ("2:31", "é".encode()),
+        ("5:35", b"left  right"),
+    ]
+
+
+def test_empty_table(spark):
+    assert substrings.remove_repeats(documents(spark, [])).collect() == []
+    only = substrings.remove_repeats(documents(spark, [(1, None), (2, "")])).collect()
+    assert {(r.n_bytes, r.n_removed, r.kept_sha256) for r in only} == {
+        (0, 0, sha256(b"").hexdigest())
+    }
