@@ -81,17 +81,21 @@ def stage_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def stage_table(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stage_table(
+    df: DataFrame, name: str, folder: str | None = None, by: str | None = None
+) -> DataFrame:
     """Drop and recreate a stored result and read it back.
 
     Without a folder it goes to a fresh one under the application's id in the cluster's shared
-    checkpoint folder, which ``drop_staged`` removes.
+    checkpoint folder, which ``drop_staged`` removes. ``by`` lays it out in a folder per value of
+    a column of few values.
     """
     spark = df.sparkSession
     if folder is None:
         folder = f"{_staging(spark)}/{uuid4().hex}"
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
