@@ -11,6 +11,7 @@ from stakeline.llm import (
     hilbert,
     packing,
     page_text,
+    phrases,
     quality_model,
     quality_rules,
     secret_scan,
@@ -167,3 +168,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_substring_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, folder, "documents"))
+
+
+@query("op12_phrase_mining")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
