@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stakeline.llm import (
+    conversations,
     decontamination,
     hilbert,
     packing,
@@ -173,3 +174,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_phrase_mining")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(read(spark, folder, "documents"))
+
+
+@query("op13_conversation_repair")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(read(spark, folder, "conversations"))
