@@ -22,6 +22,7 @@ empty result. Columns other than text and language are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -239,12 +240,14 @@ def _word_names(
     return mix(mix((sums[ends] - sums[begins]) * common._DOWN[begins]) + seeds)
 
 
-def _counted(shard: DataFrame, reached: bytes, step: int, shards: int) -> DataFrame:
-    """Counts of one scan: all words in the first round, and the phrases that are open."""
-    table, held_bytes = shard.sparkSession.sparkContext.broadcast(reached), HELD_BYTES
+def _counted(shard: DataFrame, reached: np.ndarray, step: int, shards: int) -> DataFrame:
+    """Stored counts of one scan: all words in the first round, and the phrases that are open."""
+    # Most slots are empty, and a step's table is of no use after it.
+    table = shard.sparkSession.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))
+    held_bytes = HELD_BYTES
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, held = np.frombuffer(table.value, np.uint8), _Held()
+        flags, held = np.frombuffer(zlib.decompress(table.value), np.uint8), _Held()
         langs, seeds, place = [], [], {}
         for rows in batches:
             if not rows.num_rows:
@@ -264,7 +267,10 @@ def _counted(shard: DataFrame, reached: bytes, step: int, shards: int) -> DataFr
         yield from held.rows(langs)
 
     rows = shard.mapInArrow(scan, _COUNTS)
-    return rows.groupBy(*_PHRASE, "lang", "word").agg(F.sum("places").alias("places"))
+    summed = rows.groupBy(*_PHRASE, "lang", "word").agg(F.sum("places").alias("places"))
+    stored = stage_table(summed, "counts")
+    table.destroy()
+    return stored
 
 
 _REACHED = "n int, head long, last long, name long, slot int"
@@ -329,10 +335,8 @@ def _frequent(
     step, end = 0, shards
     while step < end:
         turn = step % shards
-        scanned = _counted(
-            dealt.where(F.col("shard") == turn).drop("shard"), reached.tobytes(), step, shards
-        )
-        counts.append(stage_table(scanned, "counts"))
+        shard = dealt.where(F.col("shard") == turn).drop("shard")
+        counts.append(_counted(shard, reached, step, shards))
         # The latest scans hold every shard once. Who reaches the threshold in them has a
         # share of it in one of them at least, so only those are added up.
         recent = _union(counts[-shards:]).select(*_PHRASE, "places")
