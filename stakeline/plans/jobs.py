@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from stakeline.operators.enrich import (
     find_hot_histories,
     update_attributes,
 )
-from stakeline.operators.lanes import HotKeys, all_present, merge
+from stakeline.operators.lanes import HotKeys, all_present, find_hot, merge
 from stakeline.operators.quality import (
     duplicate_report,
     has_rows,
@@ -58,15 +58,10 @@ from stakeline.params import (
     SkewPolicy,
     TimeWindow,
 )
+from stakeline.sources.commits import LoadedTables
 from stakeline.sources.schemas import LEDGER_VIEW
-from stakeline.sources.sinks import append_table, stage_table
-from stakeline.sources.tables import (
-    conform,
-    high_water_mark,
-    read_table,
-    scan_view,
-    table_exists,
-)
+from stakeline.sources.sinks import stage_table, staging
+from stakeline.sources.tables import conform, scan_view
 
 TREATED_TYPE = "csn_cust_transaction_type_id_tratado"
 BRANCH = "branch"
@@ -182,41 +177,76 @@ def session_summary_job(
 
 class LoadReport(NamedTuple):
     """What a load found: rows in the window, nulls per essential column, rows whose customer and
-    session occur more than once, and the id it continued from (null if it stored nothing)."""
+    session occur more than once, the id it continued from (null if it stored nothing), and
+    whether the window had been loaded before."""
 
     rows: int
     nulls: dict[str, int]
     repeated: int
     start_id: int | None
+    known: bool = False
+
+
+SUMMARY, OTHER = "session_summary", "other_types"
 
 
 def load_sessions(
     ledger: DataFrame,
     window: TimeWindow,
-    summary_path: str,
-    other_path: str,
+    root: str,
     gap: float = SESSION_GAP_SECONDS,
     skew: SkewPolicy = DEFAULT_SKEW,
     hot: HotKeys | None = None,
 ) -> LoadReport:
-    """Append a window's sessions and non-core rows to their tables, ids continued.
+    """Append a window's sessions and non-core rows to the tables under ``root``, ids continued.
 
-    Ids start above the greatest one stored; tables that do not exist yet are created. A window
-    without complete rows stores nothing. Loading a window twice stores it twice.
+    Both tables change in one step. A window that was loaded is skipped, and one that overlaps a
+    loaded one is refused, so a load can be repeated after a crash at any point. Ids start above
+    the greatest one published, which is read from the log of loads. A window without complete
+    rows stores nothing. Nulls are counted by the pass that numbers the rows.
     """
     spark = ledger.sparkSession
-    found = null_report(ledger.where(within(F.col("transaction_date"), window))).first()
-    nulls = {c: found[f"{c}_nulls"] for c in ESSENTIALS}
-    numbered = _number_rows(ledger, window, gap, skew, hot)
-    if not has_rows(numbered):
-        return LoadReport(found["row_count"], nulls, 0, None)
-    repeated = row_count(duplicate_report(numbered, (*CUSTOMER, LOCAL), skew, hot), "repeated")
-    stored = read_table(spark, summary_path) if table_exists(spark, summary_path) else None
-    start_id = high_water_mark(stored)
-    summary, other = _summaries(numbered, start_id)
-    append_table(summary, summary_path)
-    append_table(other, other_path)
-    return LoadReport(found["row_count"], nulls, repeated.first()["row_count"], start_id)
+    tables = LoadedTables(spark, root)
+    key = f"{window.start}/{window.end}"
+    for commit in tables.commits():
+        if commit.key == key:
+            counts = dict(commit.details)
+            nulls = {c: counts[f"{c}_nulls"] for c in ESSENTIALS}
+            return LoadReport(counts["rows"], nulls, counts["repeated"], counts["start_id"], True)
+        start, end = commit.key.split("/")
+        if start <= str(window.end) and str(window.start) <= end:
+            raise ValueError(f"window {key} overlaps the loaded one {commit.key}")
+    load = tables.begin(key)
+    with staging(spark):
+        in_window = ledger.where(within(F.col("transaction_date"), window))
+        hot = hot or find_hot(ledger_rows(ledger, window), CUSTOMER, skew)
+        seen = Observation()
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in ESSENTIALS]
+        watched = in_window.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls)
+        numbered = _number_rows(watched, window, gap, skew, hot)
+        if not has_rows(numbered):
+            # Spark drops an empty plan with its observation.
+            found = null_report(in_window).first()
+            nulls = {c: found[f"{c}_nulls"] for c in ESSENTIALS}
+            return LoadReport(found["row_count"], nulls, 0, None)
+        counts = dict(seen.get)
+        nulls = {c: counts[f"{c}_nulls"] for c in ESSENTIALS}
+        by_session = duplicate_report(numbered, (*CUSTOMER, LOCAL), skew, hot)
+        counts["repeated"] = row_count(by_session, "repeated").first()["row_count"]
+        last = tables.greatest_id()
+        counts["start_id"] = FIRST_SESSION_ID if last is None else last + 1
+        summary, other = _summaries(numbered, counts["start_id"])
+        ids = Observation()
+        load.write(summary.observe(ids, F.max("sessionid").alias("greatest")), SUMMARY)
+        load.write(other, OTHER)
+        load.publish(ids.get["greatest"], **counts)
+    return LoadReport(counts["rows"], nulls, counts["repeated"], counts["start_id"])
+
+
+def loaded_sessions(spark: SparkSession, root: str) -> SessionSummary:
+    """Both tables of ``load_sessions``, as far as published."""
+    tables = LoadedTables(spark, root)
+    return SessionSummary(tables.read(SUMMARY), tables.read(OTHER))
 
 
 def attach_dims_job(sessions: DataFrame, games: DataFrame, categories: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from stakeline.params import (
 )
 from stakeline.plans import jobs
 from stakeline.session import shared_dir, tune
-from stakeline.sources import schemas, sinks, tables
+from stakeline.sources import commits, schemas, sinks, tables
 
 # Spans all events / all orders.
 ALL = TimeWindow.of("2023-12-31 06:00:00", "2024-02-01 05:59:59")
@@ -589,9 +590,9 @@ def _(t: Tables) -> DataFrame:
     return jobs.session_summary_job(t.txn_fine, ORDERS, start, LONG_GAP).summary
 
 
-# Two windows in a row, loaded one after the other.
+# Two windows in a row, loaded one after the other; the first ends right before the second.
 HALVES = (
-    TimeWindow.of("2023-12-31 06:00:00", "2024-01-15 05:59:59"),
+    TimeWindow(ALL.start, datetime(2024, 1, 15, 5, 59, 59, 999_999)),
     TimeWindow.of("2024-01-15 06:00:00", "2024-02-01 05:59:59"),
 )
 _LOADED = {
@@ -607,26 +608,67 @@ _LOADED = {
 }
 
 
-def _load_halves(t: Tables) -> tuple[DataFrame, DataFrame]:
-    paths = _fresh_path(t, "session_summary"), _fresh_path(t, "other_types")
+def _load_halves(t: Tables) -> str:
+    root = _fresh_path(t, "sessions")
     for window in HALVES:
-        jobs.load_sessions(t.txn, window, *paths)
-    return tuple(tables.read_table(t._spark, path) for path in paths)
+        jobs.load_sessions(t.txn, window, root)
+    return root
 
 
-@query("load_sessions_summary", _FULL, _LOADED)
-def _(t: Tables) -> DataFrame:
-    return _load_halves(t)[0]
+def _load_again(t: Tables) -> str:
+    """Loads the windows, the first one twice, and the second one also after a crash that left
+    one table written and the load unpublished."""
+    root = _fresh_path(t, "sessions")
+    loads = commits.LoadedTables(t._spark, root)
+    jobs.load_sessions(t.txn, HALVES[0], root)
+    jobs.load_sessions(t.txn, HALVES[0], root)
+    broken = loads.begin(f"{HALVES[1].start}/{HALVES[1].end}")
+    broken.write(loads.read(jobs.SUMMARY), jobs.SUMMARY)
+    for _ in range(2):
+        jobs.load_sessions(t.txn, HALVES[1], root)
+    return root
 
 
-@query(
-    "load_sessions_other",
+_OTHER_ROWS = (
     "SELECT csn_customer_id, sessionid, csn_cust_transaction_type_id AS type,"
-    f" CAST(amount_from_balance AS DOUBLE) AS total_amount FROM numbered WHERE {_NOT_CORE}",
-    _LOADED,
+    f" CAST(amount_from_balance AS DOUBLE) AS total_amount FROM numbered WHERE {_NOT_CORE}"
 )
+
+
+@query("load_sessions_summary", _FULL, _LOADED)
+def _(t: Tables) -> DataFrame:
+    return jobs.loaded_sessions(t._spark, _load_halves(t)).summary
+
+
+@query("load_sessions_other", _OTHER_ROWS, _LOADED)
 def _(t: Tables) -> DataFrame:
-    return _load_halves(t)[1]
+    return jobs.loaded_sessions(t._spark, _load_halves(t)).other
+
+
+@query("load_sessions_again_summary", _FULL, _LOADED)
+def _(t: Tables) -> DataFrame:
+    return jobs.loaded_sessions(t._spark, _load_again(t)).summary
+
+
+@query("load_sessions_again_other", _OTHER_ROWS, _LOADED)
+def _(t: Tables) -> DataFrame:
+    return jobs.loaded_sessions(t._spark, _load_again(t)).other
+
+
+@query("session_mark_of_loads", "SELECT max(sessionid) + 1 AS start_id FROM numbered", _LOADED)
+def _(t: Tables) -> DataFrame:
+    loads = commits.LoadedTables(t._spark, _load_halves(t))
+    return t._spark.range(1).select(F.lit(loads.greatest_id() + 1).cast("long").alias("start_id"))
+
+
+@query("append_once_roundtrip", _WHOLE)
+def _(t: Tables) -> DataFrame:
+    rows = tables.extract_transactions(t.txn, ALL)
+    root = _fresh_path(t, "transactions_once")
+    for _ in range(2):
+        commits.append_once(rows, root, "transactions", "all")
+    stored = commits.LoadedTables(t._spark, root).read("transactions", rows.schema)
+    return summary.money_as_double(stored)
 
 
 @query("session_summary_hot", _FULL, _summary_steps("txn_hot"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,8 @@ from stakeline.functions.times import business_day
 from stakeline.session import shared_dir
 
 DAY = "business_day"
+# Folder of the innermost ``staging`` block.
+_scope: ContextVar[str | None] = ContextVar("staging", default=None)
 
 
 def with_day(df: DataFrame, ts: str = "transaction_date") -> DataFrame:
@@ -86,13 +91,13 @@ def stage_table(
 ) -> DataFrame:
     """Drop and recreate a stored result and read it back.
 
-    Without a folder it goes to a fresh one under the application's id in the cluster's shared
-    checkpoint folder, which ``drop_staged`` removes. ``by`` lays it out in a folder per value of
-    a column of few values.
+    Without a folder it goes to a fresh one of the ``staging`` block around, or else under the
+    application's id in the cluster's shared checkpoint folder, which ``drop_staged`` removes.
+    ``by`` lays it out in a folder per value of a column of few values.
     """
     spark = df.sparkSession
     if folder is None:
-        folder = f"{_staging(spark)}/{uuid4().hex}"
+        folder = f"{_scope.get() or _staging(spark)}/{uuid4().hex}"
     path = f"{folder}/{name}"
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(by) if by else writer).parquet(path)
@@ -146,13 +151,37 @@ def read_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return rows.csv(path).select(*[restored(c) for c in columns])
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Owns the tables staged inside the block and deletes them, and no others, at its end.
+
+    What is to outlive the block has to be stored before, by a sink or ``keep``. Blocks nest,
+    and blocks of other threads and applications are left alone.
+    """
+    folder = f"{_staging(spark)}/job-{uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        _delete(spark, folder)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """A result stored outside all staging folders, in a fresh folder of the shared one."""
+    return stage_table(df, name, f"{shared_dir(df.sparkSession)}/results/{uuid4().hex}")
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Deletes all tables this application has staged without a folder of its own.
 
-    For the end of a job: results that still read staged tables have to be stored before.
+    For the end of an application: results that still read staged tables have to be stored before.
     """
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    _delete(spark, _staging(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

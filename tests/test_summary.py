@@ -1,9 +1,9 @@
 from __future__ import annotations
 
 import json
-
 from datetime import timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from ledger import at, ledger
@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 from stakeline.operators import summary
 from stakeline.params import FIRST_SESSION_ID, TimeWindow
-from stakeline.plans.jobs import load_sessions, session_summary_job
+from stakeline.plans.jobs import (
+    OTHER,
+    SUMMARY,
+    load_sessions,
+    loaded_sessions,
+    session_summary_job,
+)
+from stakeline.sources.commits import Load, LoadedTables, LoadTaken
+from stakeline.sources.sinks import keep, stage_table, staging
 
 DAY = TimeWindow.of("2024-10-07 06:00:00", "2024-10-08 05:59:59")
 
@@ -110,21 +118,84 @@ def test_loads_in_a_row(spark, tmp_path):
     rows = [(i, i % 3, at("10:00:00") + timedelta(hours=i), [1, 3][i % 2], 1, 1) for i in range(12)]
     rows.append((50, 1, "10:30:00", 1, 1, None))
     table = ledger(spark, rows)
-    paths = str(tmp_path / "summary"), str(tmp_path / "other")
+    root = str(tmp_path / "sessions")
     empty = TimeWindow.of("2024-01-01 00:00:00", "2024-01-02 00:00:00")
-    assert load_sessions(table, empty, *paths) == (0, dict.fromkeys(
-        ("transaction_date", "csn_customer_id", "csn_game_id"), 0), 0, None)
-    assert not (tmp_path / "summary").exists()
+    assert load_sessions(table, empty, root) == (0, dict.fromkeys(
+        ("transaction_date", "csn_customer_id", "csn_game_id"), 0), 0, None, False)
+    assert not (tmp_path / "sessions").exists()
     one = TimeWindow.of("2024-10-07 06:00:00", "2024-10-07 14:59:59")
     two = TimeWindow.of("2024-10-07 15:00:00", "2024-10-08 05:59:59")
-    first = load_sessions(table, one, *paths)
+    first = load_sessions(table, one, root)
     assert first.rows == 6 and first.nulls["csn_game_id"] == 1 and first.repeated == 0
     assert first.start_id == FIRST_SESSION_ID
-    second = load_sessions(table, two, *paths)
+    assert load_sessions(table, one, root) == first._replace(known=True)
+    second = load_sessions(table, two, root)
     assert second.start_id == FIRST_SESSION_ID + 5 + 1
-    ids = sorted(r.sessionid for r in spark.read.parquet(paths[0]).collect())
+    found = loaded_sessions(spark, root)
+    ids = sorted(r.sessionid for r in found.summary.collect())
     assert ids == [FIRST_SESSION_ID + n for n in (1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13)]
-    assert spark.read.parquet(paths[1]).count() == 6
+    assert found.other.count() == 6
+    assert LoadedTables(spark, root).greatest_id() == ids[-1]
     # Rows of one session share customer and session.
     again = ledger(spark, [(i, 1, f"10:0{i}:00", 1, 1, 1) for i in range(4)])
-    assert load_sessions(again, DAY, *paths).repeated == 4
+    assert load_sessions(again, DAY, str(tmp_path / "more")).repeated == 4
+
+
+def test_load_after_a_crash(spark, tmp_path, monkeypatch):
+    table = ledger(spark, [(i, i, "10:00:00", [1, 3][i % 2], 1, 1) for i in range(6)])
+    root = str(tmp_path / "sessions")
+    write = Load.write
+
+    def crash(load, df, name):
+        if name == OTHER:
+            raise RuntimeError("lost")
+        write(load, df, name)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Load, "write", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_sessions(table, DAY, root)
+    tables = LoadedTables(spark, root)
+    assert tables.commits() == [] and len(list((tmp_path / "sessions" / SUMMARY).iterdir())) == 1
+    assert not load_sessions(table, DAY, root).known
+    found = loaded_sessions(spark, root)
+    assert (found.summary.count(), found.other.count()) == (6, 3)
+    assert tables.discard_unpublished(SUMMARY) == 1
+    assert loaded_sessions(spark, root).summary.count() == 6
+
+
+def test_overlapping_and_simultaneous_loads(spark, tmp_path):
+    table = ledger(spark, [(i, i, "10:00:00", 1, 1, 1) for i in range(3)])
+    root = str(tmp_path / "sessions")
+    tables = LoadedTables(spark, root)
+    slow = tables.begin("slow")
+    slow.write(table, SUMMARY)
+    load_sessions(table, DAY, root)
+    with pytest.raises(LoadTaken):
+        slow.publish()
+    assert [c.number for c in tables.commits()] == [0]
+    late = TimeWindow.of(str(DAY.start), "2024-12-31 00:00:00")
+    with pytest.raises(ValueError, match="overlaps"):
+        load_sessions(table, late, root)
+
+
+def test_the_mark_of_loads_reads_no_table(spark, tmp_path):
+    table = ledger(spark, [(i, i, "10:00:00", 1, 1, 1) for i in range(3)])
+    root = str(tmp_path / "sessions")
+    load_sessions(table, DAY, root)
+    for folder in (SUMMARY, OTHER):
+        (tmp_path / "sessions" / folder).rename(tmp_path / folder)
+    assert LoadedTables(spark, root).greatest_id() == FIRST_SESSION_ID + 3
+
+
+def test_a_load_leaves_nothing_staged(spark, tmp_path):
+    table = ledger(spark, [(i, i, "10:00:00", 1, 1, 1) for i in range(3)])
+    others = stage_table(spark.range(3), "of_another_job")
+    with staging(spark) as folder:
+        inner = stage_table(spark.range(2), "inner")
+        result = keep(inner, "result")
+        assert Path(folder).exists()
+    assert not Path(folder).exists()
+    assert result.count() == 2 and others.count() == 3
+    load_sessions(table, DAY, str(tmp_path / "sessions"))
+    assert not list(Path(folder).parent.glob("job-*"))
