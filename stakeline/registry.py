@@ -22,7 +22,7 @@ from stakeline.params import (
     SkewPolicy,
     TimeWindow,
 )
-from stakeline.plans import jobs
+from stakeline.plans import jobs, updates
 from stakeline.session import shared_dir, tune
 from stakeline.sources import commits, schemas, sinks, tables
 
@@ -723,6 +723,24 @@ def _(t: Tables) -> DataFrame:
     return enrich.update_fill_null(enrich.update_overwrite(_ledger(t), _bets(t)), _bets(t))
 
 
+def _bets_of_some_days(t: Tables) -> DataFrame:
+    return enrich.bets_extract(t.casino_customer_bets, t.csn_games, t.csn_categories, SOME)
+
+
+_SOME_BETS = {
+    **_steps_until("pass2"),
+    "extract_bets": _BETS_EXTRACT.replace(_range("played_date", ALL), _range("played_date", SOME)),
+}
+
+
+@query("update_stored_ledger", f"SELECT {_LEDGER} FROM pass2", _SOME_BETS)
+def _(t: Tables) -> DataFrame:
+    path = _fresh_path(t, "ledger_by_day")
+    sinks.append_table(sinks.with_day(_ledger(t)), path, by=sinks.DAY)
+    updates.update_stored_games(t._spark, path, _bets_of_some_days(t))
+    return tables.read_table(t._spark, path).select(*_BRIEF_COLUMNS)
+
+
 @query(
     "fill_pass3",
     f"SELECT {_LEDGER} FROM pass3",
@@ -767,18 +785,30 @@ def _(t: Tables) -> DataFrame:
     return enrich.dim_lookup(t.csn_games, t.csn_categories, ids)
 
 
-@query(
-    "attach_dims",
-    """SELECT s.sessionid, s.csn_customer_id, s.csn_game_id,
+_ATTACHED = """SELECT s.sessionid, s.csn_customer_id, s.csn_game_id,
  CASE WHEN i.csn_game_id IS NOT NULL THEN i.game_category ELSE s.category END AS category,
  CASE WHEN i.csn_game_id IS NOT NULL THEN i.vendor_name ELSE s.vendor_game_name END AS vendor_game_name
- FROM session_summary_existing s LEFT JOIN info i ON s.csn_game_id = i.csn_game_id""",
-    {"info": _GAME_INFO},
-)
+ FROM session_summary_existing s LEFT JOIN info i ON s.csn_game_id = i.csn_game_id"""
+
+
+@query("attach_dims", _ATTACHED, {"info": _GAME_INFO})
 def _(t: Tables) -> DataFrame:
     return jobs.attach_dims_job(t.session_summary_existing, t.csn_games, t.csn_categories)
 
 
+@query("attach_dims_stored", _ATTACHED, {"info": _GAME_INFO})
+def _(t: Tables) -> DataFrame:
+    """First with the lookup of half of the games under other names, then with the real one."""
+    path, applied, buckets = _fresh_path(t, "sessions_by_game"), _fresh_path(t, "lookup"), 8
+    facts = t.session_summary_existing
+    updates.store_by_game(facts, path, buckets)
+    lookup = enrich.dim_lookup(t.csn_games, t.csn_categories)
+    older = lookup.where("csn_game_id % 2 = 0").withColumn("vendor_name", F.lit("older"))
+    for dim in (older, lookup):
+        updates.apply_lookup(t._spark, path, dim, applied, buckets)
+    return tables.read_table(t._spark, path).select(*facts.columns)
+
+
 # --- routing job -----------------------------------------------------------------------------
 
 _TREATED = f"{_VIEW_COLUMNS}, csn_cust_transaction_type_id AS csn_cust_transaction_type_id_tratado"
