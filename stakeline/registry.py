@@ -22,7 +22,7 @@ from stakeline.params import (
     SkewPolicy,
     TimeWindow,
 )
-from stakeline.plans import jobs, updates
+from stakeline.plans import jobs, sql_functions, updates
 from stakeline.session import shared_dir, tune
 from stakeline.sources import commits, schemas, sinks, tables
 
@@ -449,6 +449,27 @@ def process_sessions(t: Tables) -> DataFrame:
     return sessions.process_sessions(t.txn, ALL)
 
 
+def _called(t: Tables, window: TimeWindow, gap: int, more: str = "") -> DataFrame:
+    name = sql_functions.register_sessions(t._spark, t.txn, gap=gap)
+    return t._spark.sql(
+        f"SELECT * FROM {name}(TIMESTAMP_NTZ'{window.start}', TIMESTAMP_NTZ'{window.end}') {more}"
+    )
+
+
+@query("sessions_between", _FUNCTION, _shared_ids("txn"))
+def _(t: Tables) -> DataFrame:
+    return _called(t, ALL, 1200)
+
+
+@query(
+    "sessions_between_customer",
+    f"SELECT * FROM ({_FUNCTION}) WHERE csn_customer_id = 7",
+    _shared_ids("txn", SOME, LONG_GAP),
+)
+def _(t: Tables) -> DataFrame:
+    return _called(t, SOME, LONG_GAP, "WHERE csn_customer_id = 7")
+
+
 @query("process_sessions_window", _FUNCTION, _shared_ids("txn", SOME, LONG_GAP))
 def _(t: Tables) -> DataFrame:
     return sessions.process_sessions(t.txn, SOME, LONG_GAP)
