@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stakeline.functions import codes
@@ -56,6 +56,17 @@ def only_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(ids.select(MASTER), MASTER, "left_semi")
 
 
+def id_range(ids: DataFrame) -> Column:
+    """The range the stored ids span, as a condition on rows with an id.
+
+    Rows outside it are skipped by the minimum and maximum of their row group. On the ids
+    themselves it drops nothing, but tells Spark that they are a selection, so that it sends a Bloom
+    filter of them to the scan of a long history; behind a stored table it cannot know.
+    """
+    low, high = ids.agg(F.min(MASTER), F.max(MASTER)).first()
+    return F.lit(False) if low is None else F.col(MASTER).between(F.lit(low), F.lit(high))
+
+
 def bets_with_login(
     bets: DataFrame,
     logins: DataFrame,

@@ -39,7 +39,13 @@ from stakeline.operators.sessions import (
     ledger_rows,
     shifted,
 )
-from stakeline.operators.sports import bets_report, events_report, markets_report, sport_bet_ids
+from stakeline.operators.sports import (
+    bets_report,
+    events_report,
+    id_range,
+    markets_report,
+    sport_bet_ids,
+)
 from stakeline.operators.summary import (
     AMOUNT,
     SESSION_KEYS,
@@ -280,14 +286,19 @@ def sports_report_job(
 ) -> SportsReports:
     """Bet ids of a window and the three reports on them.
 
-    All reports filter by the ids, so these are stored once instead of computed three times.
+    All reports filter by the ids, so these are stored once instead of computed three times. Their
+    range prunes the histories, and lets Spark make a Bloom filter of them.
     """
     ids = stage_table(
         sport_bet_ids(transactions, details, masters, selections, window), "sport_bet_ids"
     )
+    near = id_range(ids)
+    selections, chosen = selections.where(near), ids.where(near)
     return SportsReports(
         ids,
-        bets_report(bets, masters, customers, customer_details, logins, ids, skew),
-        events_report(selections, ids),
-        markets_report(selections, ids),
+        bets_report(
+            bets.where(near), masters.where(near), customers, customer_details, logins, chosen, skew
+        ),
+        events_report(selections, chosen),
+        markets_report(selections, chosen),
     )

@@ -490,6 +490,14 @@ def _(t: Tables) -> DataFrame:
     return quality.sort_by_time(sinks.stage_view(stored, "tab_final_sessao_teste"))
 
 
+@query("drilldown_stored", f"{_TABLE} WHERE csn_customer_id = 7", _shared_ids("txn"))
+def _(t: Tables) -> DataFrame:
+    path = _fresh_path(t, "sessions_by_customer")
+    order = ("transaction_date", TXN)
+    sinks.store_for_lookup(sessions.session_table(t.txn, ALL), path, "csn_customer_id", order)
+    return quality.drilldown(tables.read_table(t._spark, path), 7)
+
+
 @query("drilldown", f"{_TABLE} WHERE csn_customer_id = 7", _shared_ids("txn"))
 def _(t: Tables) -> DataFrame:
     return quality.drilldown(sessions.session_table(t.txn, ALL), 7)

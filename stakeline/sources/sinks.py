@@ -14,6 +14,8 @@ from stakeline.functions.times import business_day
 from stakeline.session import shared_dir
 
 DAY = "business_day"
+# Rows of a row group in tables for lookups: what is read for a key that is there.
+GROUP_ROWS = 100_000
 # Folder of the innermost ``staging`` block.
 _scope: ContextVar[str | None] = ContextVar("staging", default=None)
 
@@ -65,6 +67,25 @@ def store_bucketed(df: DataFrame, name: str, path: str, by: str, buckets: int) -
     return df.sparkSession.table(name)
 
 
+def store_for_lookup(
+    df: DataFrame, path: str, key: str, order: tuple[str, ...] = (), group_rows: int = GROUP_ROWS
+) -> None:
+    """Table for reading the rows of one key: a few row groups of it, whatever its size.
+
+    Rows are sorted by key and ``order`` over all files, so minima and maxima tell row groups and
+    pages apart, and Bloom filters answer for keys that do not occur. The range partitioning cuts a
+    key with very many rows, so no task has to hold one.
+    """
+    (
+        df.repartitionByRange(key, *order)
+        .sortWithinPartitions(key, *order)
+        .write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option("parquet.block.row.count.limit", str(group_rows))
+        .parquet(path)
+    )
+
+
 def append_jdbc(
     df: DataFrame, url: str, table: str, batch_rows: int = 50_000, **options: str
 ) -> None:

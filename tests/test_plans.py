@@ -9,10 +9,12 @@ import pytest
 from stakeline import registry
 from stakeline.bindings import Tables
 from stakeline.operators import sessions
+from stakeline.operators.quality import drilldown
+from stakeline.operators.sports import id_range, only_ids
 from stakeline.params import SkewPolicy
 from stakeline.plans import jobs
 from stakeline.registry import ALL, SOME
-from stakeline.sources import tables
+from stakeline.sources import sinks, tables
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = registry.queries()
@@ -38,7 +40,7 @@ def test_rows_never_meet_in_one_task(spark, name):
     lines = text.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
-            assert "_bucket1" in lines[i + 1], lines[i : i + 3]
+            assert re.search(r"_bucket1|\(keys=\[region#", lines[i + 1]), lines[i : i + 3]
 
 
 def test_range_and_columns_reach_the_scan(spark):
@@ -102,3 +104,57 @@ def test_a_hot_key_does_not_repeat_the_bets_join(spark):
 def test_bets_report_counts_on_stored_bets(spark):
     text = plan(QUERIES["bets_report"](spark, FOLDER))
     assert "chosen_bets" in text and len(re.findall(r"FileScan parquet [^\n]*orders", text)) == 1
+
+
+def test_customer_filter_reaches_the_scan_of_the_table_function(spark):
+    text = QUERIES["sessions_between_customer"](spark, FOLDER)._jdf.queryExecution().toString()
+    assert "EqualTo(user_id,7)" in text
+
+
+def rows_scanned(df) -> int:
+    """Rows that the scans of a plan without a shuffle gave."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(
+        leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())
+    )
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    rows = spark.range(60_000).selectExpr("id * 2 % 4000 AS csn_customer_id", "id AS sessionid")
+    sinks.store_for_lookup(rows, path, "csn_customer_id", ("sessionid",), group_rows=500)
+    found = drilldown(spark.read.parquet(path), 700)
+    assert found.count() == 30 and rows_scanned(found) <= 1000
+    # A customer between others that does not occur: the Bloom filter answers.
+    assert rows_scanned(drilldown(spark.read.parquet(path), 701)) == 0
+
+
+def test_ids_filter_the_history_before_its_shuffle(spark, tmp_path):
+    for name, count in (("history", 200_000), ("ids", 400)):
+        made = spark.range(count).selectExpr("id * 7 % 200003 AS sport_bet_master_id", "id AS x")
+        made.write.parquet(str(tmp_path / name))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    ids = spark.read.parquet(str(tmp_path / "ids")).select("sport_bet_master_id")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        near = id_range(ids)
+        df = only_ids(history.where(near), ids.where(near))
+        text = plan(df)
+        assert "might_contain" in text and "GreaterThanOrEqual(sport_bet_master_id,0)" in text
+        assert "might_contain" not in plan(only_ids(history, ids))
+        assert df.count() == 400
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_no_ids_choose_nothing(spark):
+    ids = spark.range(0).toDF("sport_bet_master_id")
+    assert spark.range(5).toDF("sport_bet_master_id").where(id_range(ids)).count() == 0
