@@ -29,7 +29,7 @@ TYPE = "csn_cust_transaction_type_id"
 def amount_type(df: DataFrame) -> T.DecimalType:
     """Decimal type that holds the amounts exactly: their own, or a wide one for other numbers.
 
-    Floating point amounts count as the decimals they print as, with up to ten places.
+    Floating point amounts count as the decimals they print as; more than ten places are an error.
     """
     kind = df.schema[AMOUNT].dataType
     if isinstance(kind, T.DecimalType):
@@ -41,6 +41,16 @@ def amount_type(df: DataFrame) -> T.DecimalType:
     raise TypeError(f"{AMOUNT} must be a number, not {kind.simpleString()}")
 
 
+def exact_amount(df: DataFrame) -> Column:
+    """The amount as ``amount_type`` has it, with all its digits."""
+    kind, amount, money = df.schema[AMOUNT].dataType, F.col(AMOUNT), amount_type(df)
+    if not isinstance(kind, (T.FloatType, T.DoubleType)):
+        return amount.cast(money)
+    printed = amount.cast("string").cast(money)
+    message = F.concat(amount.cast("string"), F.lit(f" does not fit {money.simpleString()}"))
+    return F.when(printed.cast(kind) != amount, F.raise_error(message).cast(money)).otherwise(printed)
+
+
 def sum_type(amounts: T.DecimalType) -> T.DecimalType:
     """Money type of sums: DECIMAL(18,2) for amounts in cents, else as wide as it gets."""
     if amounts.precision <= 18 and amounts.scale <= 2:
@@ -78,12 +88,10 @@ def with_type_flags(df: DataFrame) -> DataFrame:
 
 def with_masked_amounts(df: DataFrame) -> DataFrame:
     """Adds the amount per kind, 0 on other rows, and the id of paid rewards."""
-    money = amount_type(df)
+    money, amount = amount_type(df), exact_amount(df)
 
     def masked(flag: str) -> Column:
-        return F.when(F.col(flag) == 1, F.col(AMOUNT).cast(money)).otherwise(
-            F.lit(0).cast(money)
-        )
+        return F.when(F.col(flag) == 1, amount).otherwise(F.lit(0).cast(money))
 
     return df.withColumns(
         {

@@ -86,6 +86,9 @@ def test_other_types_keep_rows_without_type(spark):
         ("double", [0.29] * 10, "2.90"),
         ("double", [1.15, 4.35, None], "5.50"),
         ("float", [0.5, 0.25], "0.75"),
+        ("float", [0.29] * 10, "2.90"),
+        ("float", [16777216.0, 1e-3], "16777216.001"),
+        ("double", [1e15, 0.1234567891], "1000000000000000.1234567891"),
         ("decimal(18,4)", ["0.0050"] * 100 + [None], "0.50"),
         ("decimal(18,2)", ["0.29", None, "-0.01"], "0.28"),
         ("decimal(9,3)", ["0.001"] * 7, "0.007"),
@@ -107,6 +110,14 @@ def test_sums_are_exact(spark, kind, amounts, want):
     assert row.total_ganhos == row.ganhos_jogador == 0
 
 
+def test_digits_that_amounts_have_no_room_for(spark):
+    df = ledger(spark, [(1, 1, "10:00:00", 1, 1, 1)])
+    for kind, amount in (("double", 0.12345678901), ("float", 1e-12), ("double", float("nan"))):
+        odd = df.withColumn("amount_from_balance", F.lit(amount).cast(kind))
+        with pytest.raises(Exception, match="does not fit|CAST_INVALID_INPUT"):
+            session_summary_job(odd, DAY).summary.collect()
+
+
 def test_amounts_must_be_numbers(spark):
     df = ledger(spark, [(1, 1, "10:00:00", 1, 1, 1)])
     text = df.withColumn("amount_from_balance", F.col("amount_from_balance").cast("string"))
