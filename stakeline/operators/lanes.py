@@ -183,7 +183,7 @@ class Lane:
         """Joins a table of one row per key."""
         if self.chunked:
             # Chunked rows stay where they are: one row per hot key is sent to them.
-            per_key = F.broadcast(self.hot.only(per_key))
+            per_key = self._sent(self.hot.only(per_key))
         return self.with_df(self.df.join(per_key, [*self.keys]))
 
     def _hand_on(self, value: Column) -> DataFrame:
@@ -200,9 +200,12 @@ class Lane:
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
     def _give(self, df: DataFrame, handed_on: DataFrame) -> DataFrame:
-        # One row per chunk and key: at most (chunks + hot keys) rows, both bounded by
-        # rows / max_rows, so the broadcast does not grow with a key.
-        return df.join(F.broadcast(handed_on), self._by)
+        return df.join(self._sent(handed_on), self._by)
+
+    def _sent(self, per_chunk: DataFrame) -> DataFrame:
+        """Broadcasts one row per chunk and key: at most (chunks + hot keys) rows, both bounded by
+        rows / max_rows. A caller's list of keys may be longer; its rows are shuffled instead."""
+        return F.broadcast(per_chunk) if len(self.hot.values) <= MOST_LISTED else per_chunk
 
 
 def all_present(columns: tuple[str, ...] | list[str]) -> Column:
