@@ -50,6 +50,16 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with a number behind it, so that no column of the table is called that."""
+    taken = {c.lower() for c in df.columns}
+    found, n = name, 0
+    while found.lower() in taken:
+        n += 1
+        found = f"{name}_{n}"
+    return found
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stakeline.llm.common import numbered, slices
+from stakeline.functions.times import ntz, seconds_between
+from stakeline.llm.common import numbered, slices, unused
 from stakeline.sources.sinks import stage_table
 
 SHARDS = 24
@@ -67,8 +68,17 @@ def _is_string(df: DataFrame, column: str) -> bool:
 
 
 def _measure(df: DataFrame, dimension: str) -> Column:
-    """What orders the values of a dimension: a number, or the whole string."""
-    return F.col(dimension) if _is_string(df, dimension) else F.col(dimension).cast("double")
+    """What orders the values of a dimension: a number, a time, or the whole string."""
+    value, kind = F.col(dimension), df.schema[dimension].dataType.typeName()
+    if kind == "string":
+        return value
+    if kind == "date":
+        return F.unix_date(value).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(value).cast("double")
+    if kind == "timestamp_ntz":
+        return seconds_between(ntz("1970-01-01 00:00:00"), value)
+    return value.cast("double")
 
 
 def _string_cuts(measured: DataFrame, column: str, parts: int) -> list[str]:
@@ -205,14 +215,18 @@ def write_shards(docs: DataFrame, assigned: DataFrame, path: str, doc_id: str =
     """Writes documents in a folder per shard, in the order of the curve.
 
     Ids have to be unique here. A shard of more rows than a task takes is written by several.
+    Folders are named by ``shard``, or ``shard_1`` and so on where documents have such a column.
     """
-    places = assigned.select(F.col(doc_id).alias("__id"), "shard", F.col("slot").alias("__slot"))
+    key, shard, slot = (unused(docs, name) for name in ("shard_key", "shard", "slot"))
+    places = assigned.select(
+        F.col(doc_id).alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot)
+    )
     (
-        docs.join(places, docs[doc_id] == F.col("__id"))
-        .drop("__id")
-        .repartitionByRange("shard", "__slot")
-        .sortWithinPartitions("shard", "__slot")
-        .drop("__slot")
-        .write.partitionBy("shard")
+        docs.join(places, docs[doc_id] == places[key])
+        .drop(key)
+        .repartitionByRange(shard, slot)
+        .sortWithinPartitions(shard, slot)
+        .drop(slot)
+        .write.partitionBy(shard)
         .parquet(path)
     )

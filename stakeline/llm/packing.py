@@ -17,6 +17,7 @@ like any others; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -50,6 +51,36 @@ _WORD = re.compile(
 )
 # Strings that the tokenizer takes for tokens of their own.
 _SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+# How the vocabulary's file says that, so that any other file is known to differ.
+_KNOWN = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {
+                    "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+                },
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {
+                "type": "ByteLevel",
+                "add_prefix_space": False,
+                "trim_offsets": True,
+                "use_regex": False,
+            },
+        ],
+    },
+}
 
 
 def _byte_characters() -> dict[int, int]:
@@ -77,7 +108,8 @@ class Encoder:
     The tokenizer splits a text into parts and merges bytes within a part only, so a text's ids
     are those of its parts in order, and ids of parts can be remembered. Parts of characters up to
     U+00FF, where splitting and lower-casing are simple, go to the tokenizer's merges directly;
-    words with others, and texts with its special strings, go through the tokenizer whole.
+    words with others, and texts with its special strings, go through the tokenizer whole. So do
+    all texts where the file splits in another way.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -89,6 +121,11 @@ class Encoder:
 
             vocabulary = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        written = json.loads(self.tokenizer.to_str())
+        special = {t["content"] for t in written["added_tokens"]}
+        self.known = special == {*_SPECIAL} and all(written[k] == v for k, v in _KNOWN.items())
         self.merges = self.tokenizer.model
         self.characters = _byte_characters()
         self.parts: dict[str, bytes] = {}
@@ -119,7 +156,7 @@ class Encoder:
         for known in (self.parts, self.words):
             if len(known) > REMEMBERED:
                 known.clear()
-        if any(s in text for s in _SPECIAL):
+        if not self.known or any(s in text for s in _SPECIAL):
             return self._whole(text)
         if _narrow(text):
             return self._simple(text)

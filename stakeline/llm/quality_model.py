@@ -296,9 +296,10 @@ def train(
     )
     sent = sc.broadcast(vectors)
     rows = (
-        docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
+        docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
+        .join(F.broadcast(chosen), "__id")
         .groupBy("__id", "__y", "__order")
-        .agg(F.min(F.struct(F.xxhash64(text), F.col(text).alias("text"))).alias("least"))
+        .agg(F.min(F.struct(F.xxhash64("__text"), F.col("__text").alias("text"))).alias("least"))
         .select("least.text", "__y", "__order")
         .mapInArrow(
             lambda batches: _pool_batches(batches, sent.value),

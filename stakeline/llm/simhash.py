@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stakeline.llm.common import as_bytes, batch, sized
+from stakeline.llm.common import as_bytes, batch, sized, unused
 from stakeline.llm.components import connected_components
 from stakeline.sources.sinks import stage_table
 
@@ -279,18 +279,19 @@ def keep_one(
         ).where("NOT kept OR n > 1"),
         "listed",
     )
-    here = docs.withColumn("__text_hash", text_hash(text))
+    key = unused(docs, "text_hash")
+    here = docs.withColumn(key, text_hash(text))
 
     def matching(rows: DataFrame, how: str) -> DataFrame:
-        same = here[doc_id].eqNullSafe(rows["__id"]) & (here["__text_hash"] == rows["__hash"])
+        same = here[doc_id].eqNullSafe(rows["__id"]) & (here[key] == rows["__hash"])
         return here.join(sized(rows), same, how)
 
     single = matching(listed, "left_anti")
     repeated = listed.where("kept").select("__id", "__hash")
     if not repeated.isEmpty():
-        copies = matching(repeated, "left_semi").dropDuplicates([doc_id, "__text_hash"])
+        copies = matching(repeated, "left_semi").dropDuplicates([doc_id, key])
         single = single.unionByName(copies)
-    return single.drop("__text_hash")
+    return single.drop(key)
 
 
 def hex_digits(number: Column) -> Column:

@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from fixtures import FOLDER, documents
+from fixtures import FOLDER, TINY, documents, texts
 from tokenizers import Tokenizer
 
 import public_tokenizers
@@ -130,3 +130,18 @@ def test_plan_equals_one_pass_over_the_items(seed):
             assert offset == at
             at += length
         assert at <= capacity
+
+
+def test_ids_of_other_vocabularies(spark):
+    docs = read(spark, TINY, "documents").select("doc_id", "text")
+    name = "byte_bpe_50k.json"
+    whole = Tokenizer.from_file(public_tokenizers.path(name))
+    encoder = packing.Encoder(name)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + texts()
+    for _, text in rows:
+        ids = whole.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids
+    packed = packing.pack(docs, vocabulary=name).groupBy("doc_id").sum("length").collect()
+    counts = {r.doc_id: len(whole.encode(r.text, add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    assert dict(map(tuple, packed)) == counts
+    assert packing.Encoder(packing.VOCABULARY).known and not encoder.known

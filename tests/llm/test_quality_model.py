@@ -125,3 +125,14 @@ def test_token_hashes_depend_on_the_token_only():
     own = tokens[owner == 1]
     assert len(np.unique(own)) == 3 and own[0] == tokens[0] == tokens[-1]
     assert own[-1] == tokens[2] and own[-2] == tokens[-2]
+
+
+def test_columns_of_any_name(spark, scored):
+    docs = read(spark, FOLDER, "documents").limit(300)
+    labels = read(spark, FOLDER, "labels")
+    odd = docs.selectExpr("*", *[f"'own' AS {n}" for n in ("__id", "__y", "__order", "__text", "y", "x")])
+    plain, wide = (model.train(d, labels) for d in (docs, odd))
+    kept = model.keep_good(odd, wide)
+    assert kept.columns == odd.columns
+    same = model.keep_good(docs, plain)
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in same.collect()}

@@ -84,3 +84,33 @@ def test_written_shards_hold_all_rows_in_order(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.drop("shard").exceptAll(docs).isEmpty() and back.count() == docs.count()
     assert back.select("shard").distinct().count() == 3
+
+
+def test_times_are_dimensions(spark):
+    prepare(spark)
+    docs = spark.range(480).selectExpr(
+        "id AS doc_id", "'same' AS text",
+        "date_add(DATE'2024-01-01', CAST(pmod(id * 7, 480) AS INT)) AS day",
+        "TIMESTAMP_NTZ'1969-12-01 00:00:00' + make_dt_interval(0, pmod(id * 7, 480)) AS hour",
+        "TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, pmod(id * 7, 480)) AS second",
+    )
+    for dimension in ("day", "hour", "second"):
+        rows = hilbert.shard(docs, [dimension]).collect()
+        # Shards follow time, but for the rows of one cell of the axis.
+        for s in range(24):
+            places = [r.doc_id * 7 % 480 for r in rows if r.shard == s]
+            assert len(places) == 20 and max(places) - min(places) < 60
+
+
+def test_written_shards_keep_all_columns(spark, tmp_path):
+    prepare(spark)
+    docs = spark.range(100).selectExpr(
+        "id AS doc_id", "'t' AS text", "'own' AS shard", "'own' AS slot", "'own' AS __id",
+        "'own' AS __slot", "'own' AS shard_key",
+    )
+    assigned = hilbert.shard(docs, ["doc_id"])
+    hilbert.write_shards(docs, assigned, str(tmp_path / "out"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(found.columns) == sorted([*docs.columns, "shard_1"])
+    want = {(r.doc_id, r.shard) for r in assigned.collect()}
+    assert {(r.doc_id, r.shard_1) for r in found.where("shard = 'own' AND slot = 'own'").collect()} == want

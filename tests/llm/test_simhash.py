@@ -139,3 +139,13 @@ def test_shingles_in_steps(monkeypatch):
     whole = simhash.fingerprint(text, 3)
     monkeypatch.setattr(simhash, "STEP", 64)
     assert simhash.fingerprint(text, 3) == whole == brute_print(text.decode())
+
+
+def test_kept_documents_keep_all_columns(spark):
+    prepare(spark)
+    names = ("__text_hash", "text_hash", "__id", "__hash", "kept", "n", "group", "id")
+    docs = documents(spark, [(1, "a b c d"), (2, "a b c d"), (1, "a b c d"), (3, "other")]).drop("id")
+    docs = docs.selectExpr("*", *[f"'own' AS {name}" for name in names])
+    rows = simhash.keep_one(docs).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 3]
+    assert all(r[name] == "own" for r in rows for name in names)
