@@ -8,13 +8,12 @@ before the next, so a lost executor costs at most the stage that runs.
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stakeline.llm import decontamination, packing, quality_model, secret_scan, simhash
 from stakeline.llm.common import prepare, read
-from stakeline.session import shared_dir
+from stakeline.sources.sinks import keep, stage_table, staging
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,11 +68,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``.
+
+    What a stage stages goes when it ends, what it returns when all have; the result is kept
+    outside the folder of staged tables.
+    """
     docs = read(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid4().hex}"
-    for i, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/stage-{i}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
+    with staging(spark) as stages:
+        for i, (_, stage) in enumerate(STAGES[:-1]):
+            with staging(spark):
+                docs = stage_table(stage(spark, docs, sf_dir), f"stage-{i}", stages)
+        return keep(STAGES[-1][1](spark, docs, sf_dir), "packed")
