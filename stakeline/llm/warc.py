@@ -309,4 +309,5 @@ def read_records(spark: SparkSession, path: str, page_id: str = "page_id") -> Da
 
 
 def fresh_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid4().hex}/warc"
+    """A new folder for archives, outside the folder of staged tables."""
+    return f"{shared_dir(spark)}/results/{uuid4().hex}/warc"
