@@ -138,6 +138,9 @@ MARKED_BY_NAMES = [
     ("<article>a<article class=comment>a reader's long words</article></article>", "a"),
     ("<nav><div class=social><article>no</article></div></nav><main>text</main>", "text"),
     ("<article><div class=search>no<div class=no-search>no</div></div>text</article>", "text"),
+    ("<article><div class=topic-nav>no</div><div class=cat-menu>no</div>a<p class=tag-sidebar>no"
+     "<p class=no-sidebar>b</article>", "a b"),
+    ("<div class=category-social><p>open<article>a</article></div>", "a"),
     # Ends that HTML leaves out.
     ("<article>a<p class='ad'>no<p>b<p class=ad>no<div>c</div>d</article>", "a b c d"),
     ("<article><ul><li class='notice'>no<li>a<ul><li class=ad>no</ul>b<li>c</ul></article>",
@@ -242,6 +245,123 @@ def test_near_copies_and_quotes_stay(spark):
     assert got == want
 
 
+def test_quoted_pages_and_shared_paragraphs_stay(spark):
+    """One article quoted by sixteen pages in stretches of twelve words, with a near copy or
+    without, and a paragraph that two pages of a host share.
+    """
+    prepare(spark)
+    rows, want = [], {}
+
+    def add(host, *bodies):
+        n = len(rows)
+        rows.append((n, f"http://{host}.com/{n}", "".join(f"<p>{b}</p>" for b in bodies)))
+        want[n] = " ".join(bodies)
+
+    for host, copies in (("quoted", 1), ("twins", 2)):
+        words = [f"{host}{k}" for k in range(160)]
+        for n in range(copies):
+            add(host, " ".join([*words[:80], *[f"copy{n}"] * n, *words[80:]]))
+        for n in range(16):
+            own = " ".join(f"{host}{n}own{k}" for k in range(30))
+            add(host, own, f"said{n} " + " ".join(words[n * 9 : n * 9 + 12]), f"after{n} {own}")
+    shared = " ".join(f"shared{k}" for k in range(100))
+    for n in range(6):
+        own = " ".join(f"body{n}own{k}" for k in range(50))
+        add("paragraph", own, *[shared] * (n < 2))
+    # All of a menu, in one long run, is gone where four pages hold it.
+    menu = " ".join(f"menu{k}" for k in range(100))
+    for n in range(4):
+        add("menus", " ".join(f"page{n}own{k}" for k in range(50)))
+        rows[-1] = (*rows[-1][:2], rows[-1][2] + f"<div>{menu}</div>")
+    got = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
+def sweep(rows):
+    """Texts of unmarked pages of one host without near copies, by plain search."""
+    streams = {n: " ".join(found).split(" ") for n, found in rows}
+    distinct = {" ".join(s) for s in streams.values() if len(s) >= 8}
+    enough = min(4, len(distinct))
+
+    def holders(run):
+        return sum(f" {run} " in f" {s} " for s in distinct)
+
+    texts = {}
+    for n, found in rows:
+        words, kept, at = streams[n], [], 0
+        short = [False] * len(words)
+        for i in range(len(words) - 7):
+            number = holders(" ".join(words[i : i + 8]))
+            if number > 1 and number >= enough:
+                short[i : i + 8] = [True] * 8
+        for block in found:
+            size = len(block.split(" "))
+            length = 8
+            while 2 * length <= size // 2:
+                length *= 2
+            gone = [False] * len(words)
+            for i in range(len(words) - length + 1):
+                number = holders(" ".join(words[i : i + length]))
+                if number > 1 and number >= enough:
+                    gone[i : i + length] = [True] * length
+            part = gone[at : at + size]
+            if 2 * sum(part) < size:
+                part = [False] * size
+            if not all(short[at : at + size]):
+                kept += [w for w, g in zip(words[at:], part, strict=False) if not g]
+            at += size
+        texts[n] = " ".join(kept)
+    return texts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sweep_against_brute_force(spark, seed):
+    prepare(spark)
+    rng = random.Random(seed)
+    passages = [" ".join(f"p{i}w{k}" for k in range(n)) for i, n in enumerate((3, 9, 20, 40, 70))]
+    hosts = {}
+    for host, n in (("a", 2), ("b", 3), ("c", 12)):
+        for page in range(n):
+            found = []
+            for block in range(rng.randrange(1, 7)):
+                # Own words at least double, so that no page is a near copy.
+                own = " ".join(f"{host}{page}b{block}w{k}" for k in range(rng.randrange(30, 90)))
+                part = rng.choice(passages).split(" ")
+                begin = rng.randrange(len(part))
+                part = " ".join(part[begin:]) if rng.random() < 0.3 else " ".join(part)
+                found += [own, part] if rng.random() < 0.6 else [f"{own} {part}"]
+            hosts.setdefault(host, []).append((f"{host}{page}", found))
+    rows, want = [], {}
+    for host, found in hosts.items():
+        texts = sweep(found)
+        for name, of_page in found:
+            want[len(rows)] = texts[name]
+            html = "".join(f"<p>{b}</p>" for b in of_page)
+            rows.append((len(rows), f"http://{host}.org/{name}", html))
+    got = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
+def test_lines_of_nearly_all_articles_go(spark):
+    """Content is boilerplate on nine tenths of a host's pages only, and never most of a page."""
+    prepare(spark)
+    rows, want = [], {}
+    for host, n, holding in (("most", 40, 36), ("less", 40, 35), ("small", 19, 19)):
+        for page in range(n):
+            own = " ".join(f"{host}{page}w{k}" for k in range(40))
+            line = "<p>Share this story</p>" if page < holding else ""
+            want[len(rows)] = own + (" Share this story" if line and host != "most" else "")
+            rows.append((len(rows), f"http://{host}.com/", f"<article>{own}{line}</article>"))
+    # A short page that is mostly that line, and equal pages, which count once.
+    rows += [(len(rows), "http://most.com/s", "<article><p>Brief<p>Share this story</article>")]
+    want[len(want)] = "Brief Share this story"
+    for n in range(30):
+        rows.append((len(rows), "http://copies.com/", "<article><p>All the same<p>text</article>"))
+        want[len(want)] = "All the same text"
+    got = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
 def test_many_near_copies_are_one_class(spark):
     """Links through the least stream of a bucket reach all of a large group."""
     prepare(spark)
