@@ -3,9 +3,13 @@
 Every text is turned into hashes of its k-grams of words; of each window of successive k-grams
 only the smallest hash is kept as a fingerprint. Two texts that share a window of words share all
 its k-grams, so they share a fingerprint at the same place of it. Documents that share one with
-the benchmark are looked at again: their fingerprints are joined with the items' and each hit is
-extended word by word to both sides. Stretches of a whole window or more are hits; words are
-compared, so equal hashes of different words cannot make one.
+the benchmark are looked at again: each fingerprint that an item has as well is extended to the
+windows around it, and these are joined with the items' windows on fingerprint and words; words
+are compared, so equal hashes of different words cannot make a hit.
+
+A window is listed once, however many items hold it, and so are the items of a window and the
+items of a set of windows. So the rows in between grow with the documents' hit windows, not with
+the items that share a line.
 
 An item shorter than a window is one window of its own length; winnowing guarantees nothing for
 it, so all k-grams of that length are kept on both sides.
@@ -26,7 +30,7 @@ from stakeline.sources.sinks import stage_table
 
 # Words in a window and in a k-gram.
 WINDOW, GRAM = 10, 5
-# Fingerprints of items carry the words around them, some 150 bytes; more are not broadcast.
+# Windows of items carry their words, some 100 bytes; more are not broadcast.
 ITEM_ROWS = 100_000
 KEYS = ["__id", "__text"]
 
@@ -115,28 +119,37 @@ class Scheme:
         )
         return df.select(*keys, F.explode(found).alias("__f")).select(*keys, "__f.*")
 
-    def extended(self, hits: DataFrame) -> DataFrame:
-        """Adds ``from`` and ``to`` of the words equal around each hit; whole windows only."""
-        same = F.transform(
-            F.sequence(F.lit(0), F.lit(self.gram + 2 * self.margin - 1)),
-            lambda i: F.coalesce(
-                F.get(F.col("near"), i) == F.get(F.col("item_near"), i), F.lit(False)
+    def item_windows(self, items: DataFrame) -> DataFrame:
+        """One row per distinct window of the items: its fingerprint, words and sorted items."""
+        df = items.withColumn("__h", F.transform("w", lambda word: F.xxhash64(word)))
+        df = df.withColumn("__g", self.grams(F.col("__h")))
+        found = F.transform(
+            _starts(F.col("w"), self.window),
+            lambda i: F.struct(
+                self._least(F.col("__g"), i).alias("hash"),
+                F.slice("w", i + 1, self.window).alias("words"),
             ),
         )
-        middle = [F.get(F.col("same"), F.lit(self.margin + k)) for k in range(self.gram)]
-        # Nearest differing word on either side, as a distance from the k-gram.
-        left = F.array_position(F.reverse(F.slice("same", 1, self.margin)), False)
-        right = F.array_position(F.slice("same", self.margin + self.gram + 1, self.margin), False)
-        reach = [F.when(x == 0, self.margin).otherwise(x - 1) for x in (left, right)]
-        equal = hits.withColumn("same", same)
-        whole = middle[0]
-        for m in middle[1:]:
-            whole = whole & m
         return (
-            equal.where(whole)
-            .withColumn("from", (F.col("place") - reach[0]).cast("int"))
-            .withColumn("to", (F.col("place") + self.gram + reach[1]).cast("int"))
-            .where(F.col("to") - F.col("from") >= self.window)
+            df.select("item", F.explode(F.array_distinct(found)).alias("__f"))
+            .select("item", "__f.*")
+            .groupBy("hash", "words")
+            .agg(F.sort_array(F.collect_set("item")).alias("items"))
+        )
+
+    def extended(self, hits: DataFrame, keys: list[str]) -> DataFrame:
+        """The windows around each fingerprint, with the place of their first word."""
+        around = F.transform(
+            F.sequence(F.lit(0), F.lit(self.margin)),
+            lambda d: F.struct(
+                (F.col("place") - self.margin + d).alias("from"),
+                F.slice("near", d + 1, self.window).alias("words"),
+            ),
+        )
+        # Beyond the ends of a text there are no words.
+        whole = F.filter(around, lambda x: ~F.exists(x["words"], lambda word: word.isNull()))
+        return hits.select(*keys, "hash", F.explode(whole).alias("__f")).select(
+            *keys, "hash", "__f.*"
         )
 
 
@@ -154,14 +167,11 @@ def _schemes(items: DataFrame) -> list[Scheme]:
     return [Scheme.of(row["n"]) for row in lengths.distinct().orderBy("n").collect()]
 
 
-def _item_fingerprints(items: DataFrame, scheme: Scheme) -> DataFrame:
+def _item_windows(items: DataFrame, scheme: Scheme) -> DataFrame:
+    """Written, with the items of a window under the name of their list."""
     chosen = items.where(F.least(F.size("w"), F.lit(WINDOW)) == scheme.window)
-    return (
-        scheme.fingerprints(chosen, ["item"])
-        .withColumnRenamed("near", "item_near")
-        .select("item", "hash", "item_near")
-        .distinct()
-    )
+    found = scheme.item_windows(chosen)
+    return stage_table(found.withColumn("list", F.sha2(F.to_json("items"), 256)), "item_windows")
 
 
 def _sharing(rows: DataFrame, sources: dict[Scheme, DataFrame]) -> DataFrame:
@@ -191,20 +201,41 @@ def _sharing(rows: DataFrame, sources: dict[Scheme, DataFrame]) -> DataFrame:
     )
 
 
-def _per_document(counted: DataFrame, stretches: DataFrame) -> DataFrame:
-    """Adds the number of hit words and the sorted items to the counted documents."""
-    found = stretches.groupBy(*KEYS).agg(
+def _listed(windows: DataFrame, lists: DataFrame) -> DataFrame:
+    """Number and digest of the items per set of lists that a document's windows have."""
+    items = F.sort_array(F.array_distinct(F.flatten(F.collect_list("items"))))
+    return (
+        windows.select("lists")
+        .distinct()
+        .select("lists", F.explode("lists").alias("list"))
+        .join(sized(lists, ITEM_ROWS), "list")
+        .groupBy("lists")
+        .agg(items.alias("items"))
+        .select(
+            F.col("lists").alias("__lists"),
+            F.size("items").alias("n_items"),
+            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        )
+    )
+
+
+def _per_document(counted: DataFrame, hits: DataFrame, lists: DataFrame) -> DataFrame:
+    """Adds the number of hit words, of items, and their digest to the counted documents."""
+    found = hits.groupBy(*KEYS).agg(
         F.collect_set(F.struct("from", "to")).alias("stretches"),
-        F.sort_array(F.collect_set("item")).alias("items"),
+        F.sort_array(F.collect_set("list")).alias("lists"),
     )
     hit = F.flatten(F.transform("stretches", lambda s: F.sequence(s["from"], s["to"] - 1)))
     found = found.select(
         F.col("__id").alias("__hit_id"),
         F.col("__text").alias("__hit_text"),
         F.size(F.array_distinct(hit)).alias("n_hit"),
-        "items",
+        "lists",
     )
     found = stage_table(found, "hit_documents")
+    listed = stage_table(_listed(found, lists), "listed_items")
+    found = found.join(sized(listed, ITEM_ROWS), F.col("lists") == F.col("__lists"))
+    found = stage_table(found.drop("lists", "__lists"), "found_items")
     same = F.col("__id").eqNullSafe(F.col("__hit_id")) & (F.col("__text") == F.col("__hit_text"))
     return counted.join(sized(found, ITEM_ROWS), same, "left")
 
@@ -212,23 +243,24 @@ def _per_document(counted: DataFrame, stretches: DataFrame) -> DataFrame:
 def _contamination(
     docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str
 ) -> DataFrame:
-    """One row per document with its keys, n_words, n_hit and items; the latter null for none.
+    """One row per document with its keys, n_words, and n_hit, n_items and items_sha256, which are
+    null without a hit.
 
     Two scans of the documents: the second one of those that share a fingerprint only. Their list
     is written to the shared folder, and sent to all tasks if a count shows it is short. The
-    items' fingerprints are treated alike.
+    items' windows are treated alike.
     """
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"), words(F.col(item_text)).alias("w")
     )
-    sources = {s: _item_fingerprints(items, s) for s in _schemes(items)}
+    sources = {s: _item_windows(items, s) for s in _schemes(items)}
     rows = docs.select(
         F.col(doc_id).alias("__id"), _text_hash(text).alias("__text"), words(F.col(text)).alias("w")
     )
     counted = _sharing(rows, sources)
     if not sources:
-        none = F.lit(None).cast("array<string>")
-        return counted.withColumns({"n_hit": F.lit(None).cast("int"), "items": none})
+        none = {"n_hit": "int", "n_items": "int", "items_sha256": "string"}
+        return counted.withColumns({k: F.lit(None).cast(v) for k, v in none.items()})
     counted = stage_table(counted, "decontamination")
     sharing = counted.where("shares").select(
         F.col("__id").alias("__s_id"), F.col("__text").alias("__s_text")
@@ -238,12 +270,20 @@ def _contamination(
         F.col("__id").eqNullSafe(F.col("__s_id")) & (F.col("__text") == F.col("__s_text")),
         "left_semi",
     )
-    stretches = None
+    hits = lists = None
     for scheme, source in sources.items():
-        hits = scheme.fingerprints(chosen, KEYS).join(sized(source, ITEM_ROWS), "hash")
-        part = scheme.extended(hits).select(*KEYS, "item", "from", "to")
-        stretches = part if stretches is None else stretches.unionByName(part)
-    return _per_document(counted, stretches)
+        known = sized(source.select("hash").distinct())
+        near = scheme.fingerprints(chosen, KEYS).join(known, "hash", "left_semi")
+        part = (
+            scheme.extended(near, KEYS)
+            .join(sized(source.drop("items"), ITEM_ROWS), ["hash", "words"])
+            .select(*KEYS, "list", "from", (F.col("from") + scheme.window).alias("to"))
+        )
+        hits = part if hits is None else hits.unionByName(part)
+        own = source.select("list", "items")
+        lists = own if lists is None else lists.unionByName(own)
+    lists = stage_table(lists.dropDuplicates(["list"]), "item_lists")
+    return _per_document(counted, hits, lists)
 
 
 def _text_hash(text: str) -> Column:
@@ -263,13 +303,12 @@ def find_contamination(
     Other columns are not read.
     """
     found = _contamination(docs, benchmark, doc_id, text, item_id, item_text)
-    items = F.coalesce(F.array_join("items", ","), F.lit(""))
     return found.select(
         F.col("__id").alias(doc_id),
         F.col("n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
-        F.sha2(items, 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
 

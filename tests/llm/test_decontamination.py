@@ -86,6 +86,28 @@ def test_without_broadcast(spark, monkeypatch):
     assert sorted(got, key=str) == sorted([(i, *brute(t, items)) for i, t in docs], key=str)
 
 
+def test_a_line_of_all_items_makes_no_pairs(spark, monkeypatch):
+    """300 items and 300 documents share a line: rows are hit windows, not items x documents."""
+    prepare(spark)
+    line = " ".join(f"instruction{k}" for k in range(14))
+    items = [(i, f"{line} item{i} asks{i} for{i} more{i}") for i in range(300)]
+    docs = [(i, f"before{i} {line} after{i} rest{i}") for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    seen = []
+    original = dec._per_document
+
+    def counted(rows, hits, lists):
+        seen.append((hits.count(), lists.count()))
+        return original(rows, hits, lists)
+
+    monkeypatch.setattr(dec, "_per_document", counted)
+    got = {tuple(r) for r in dec.find_contamination(documents(spark, docs), bench).collect()}
+    assert got == {(i, *brute(t, items)) for i, t in docs}
+    # Each of a document's five windows at most once per fingerprint kept inside of it.
+    (hits, lists) = seen[0]
+    assert hits <= 300 * 5 * 2 and lists <= 301
+
+
 @pytest.mark.parametrize("items", [[], [(1, None), (2, "?!")]])
 def test_benchmarks_without_words_hit_nothing(spark, items):
     prepare(spark)
