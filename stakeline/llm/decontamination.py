@@ -34,14 +34,14 @@ WINDOW, GRAM = 10, 5
 ITEM_ROWS = 100_000
 KEYS = ["__id", "__text"]
 
-# What counts as a word after lower-casing A-Z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What lies between words after lower-casing A-Z.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
 @dataclass(frozen=True)
@@ -255,9 +255,10 @@ def _contamination(
     )
     sources = {s: _item_windows(items, s) for s in _schemes(items)}
     rows = docs.select(
-        F.col(doc_id).alias("__id"), _text_hash(text).alias("__text"), words(F.col(text)).alias("w")
+        F.col(doc_id).alias("__id"), _text_hash(text).alias("__text"), F.col(text).alias("text")
     )
-    counted = _sharing(rows, sources)
+    in_words = words(F.col("text")).alias("w")
+    counted = _sharing(rows.select(*KEYS, in_words), sources)
     if not sources:
         none = {"n_hit": "int", "n_items": "int", "items_sha256": "string"}
         return counted.withColumns({k: F.lit(None).cast(v) for k, v in none.items()})
@@ -269,7 +270,7 @@ def _contamination(
         sized(sharing.distinct()),
         F.col("__id").eqNullSafe(F.col("__s_id")) & (F.col("__text") == F.col("__s_text")),
         "left_semi",
-    )
+    ).select(*KEYS, in_words)
     hits = lists = None
     for scheme, source in sources.items():
         known = sized(source.select("hash").distinct())
