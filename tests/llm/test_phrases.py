@@ -151,3 +151,25 @@ def test_score_beyond_64_bits(spark):
 def test_empty_table(spark):
     assert phrases.collocations(documents(spark, [])).collect() == []
     assert phrases.collocations(documents(spark, [(1, None), (2, " .,")])).collect() == []
+
+
+def test_scans_read_what_is_stored_once(spark, monkeypatch):
+    """What a scan reads of earlier ones does not grow with their number."""
+    stage, read = phrases.stage_table, []
+
+    def watch(df, name, *rest, **options):
+        if name == "likely":
+            read.append(df._jdf.queryExecution().analyzed().toString().count("Relation "))
+        return stage(df, name, *rest, **options)
+
+    monkeypatch.setattr(phrases, "stage_table", watch)
+    docs = spark.createDataFrame(random_rows(3, 100), "lang string, text string")
+    phrases.frequent_phrases(docs, 7, shards=3)
+    # Counts, the list before, and phrases found.
+    assert read[0] == 1 and len(read) > 3 and set(read[1:]) == {3}
+
+
+def test_scanned_parts_are_small():
+    text = b"some words " * 100_000
+    parts = list(phrases._parts([text, b"a b"]))
+    assert max(len(part) for held in parts for _, part, _ in held) <= 1 << 17
