@@ -169,6 +169,33 @@ def test_scans_read_what_is_stored_once(spark, monkeypatch):
     assert read[0] == 1 and len(read) > 3 and set(read[1:]) == {3}
 
 
+def test_short_lists_take_few_tasks(spark, monkeypatch):
+    """Between two scans, a short list is written by one task, whatever the number of slices."""
+    stage, files = phrases.stage_table, []
+
+    def watch(df, name, *rest, **options):
+        stored = stage(df, name, *rest, **options)
+        if name == "likely" or name.startswith("step=") and "slot" in stored.columns:
+            files.append(len(stored.inputFiles()))
+        return stored
+
+    monkeypatch.setattr(phrases, "stage_table", watch)
+    docs = spark.createDataFrame(random_rows(7, 150), "lang string, text string")
+    settings = {
+        "spark.sql.shuffle.partitions": "31",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        phrases.frequent_phrases(docs, 7, shards=1)
+        assert len(files) > 4 and set(files) == {1}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_scanned_parts_are_small():
     text = b"some words " * 100_000
     parts = list(phrases._parts([text, b"a b"]))
