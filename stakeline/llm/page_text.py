@@ -6,10 +6,14 @@ are a run of tokens that these pages hold. Boilerplate goes, unique runs stay. W
 a block decides which suffixes it has and how many pages make it boilerplate.
 
 *Content*, which lies in an article or main element, repeats in copied articles too, so only what
-nearly the whole host holds is boilerplate there. A sparse suffix array is enough: suffixes at the
-starts of blocks, keyed by the whole block. A block held by ``TEMPLATE`` of the different pages of
-a host of ``TEMPLATE_PAGES`` or more goes, unless more than a fifth of the page's words would go:
-such a page is a copy of the others and stays whole.
+nearly the whole host holds is boilerplate there: ``TEMPLATE`` of the different pages of a host of
+``TEMPLATE_PAGES`` or more. Every suffix counts, keyed by its first ``RUN`` tokens, wherever in a
+block it begins, and runs are as long as the suffixes next to each other are held so widely. A
+suffix at the start of a block counts with the whole block too, however short that is. What is
+boilerplate goes, unless more than a fifth of the page's words would go: such a page is a copy of
+the others and stays whole. A run that all but ``m`` of a host's pages hold is on all but ``m`` of
+larger number of them, so the suffixes of half as many again are sorted first. Those that a third of
+these pages hold, the candidates, are then looked for on all of the host's, so nothing is lost by it.
 
 *Open* blocks are all of a page without any article or main element, apart from what its markup
 rules out. Every suffix counts, keyed by its first ``RUN`` tokens and by those of every doubled
@@ -47,9 +51,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeline.llm.common import mix, sized
@@ -66,7 +69,9 @@ HOLDERS = 4
 # Share of a host's different pages, and least number of them, that make a block of content
 # boilerplate; a page loses one word of so many that way at most.
 TEMPLATE, TEMPLATE_PAGES, TEMPLATE_WORDS = 0.9, 20, 5
-# Hosts with such blocks; lists of more are not broadcast.
+# Parts into which the pages of a host are dealt, some of which are sorted first.
+PARTS = 64
+# Hosts with such blocks or runs; lists of more are not broadcast.
 TEMPLATE_HOSTS = 100_000
 
 # Elements whose content is never text of the page.
@@ -377,55 +382,92 @@ def _key(text: str) -> int:
 
 
 KEYS_DDL = "row bigint, host string, level int, place int, suffix bigint, stream bigint"
-SCAN_DDL = "id bigint, url string, host string, page bigint, content array<bigint>, opened array<string>"
+SCAN_DDL = (
+    "id bigint, url string, host string, page bigint, keys array<bigint>, content array<string>,"
+    " opened array<string>"
+)
 
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page its name and the suffix keys of its blocks of content, or its open blocks."""
+    """Per page its name, its blocks of content and their keys, or its open blocks."""
     for rows in batches:
-        pages, keys, opened = [], [], []
+        pages, keys, contents, opened = [], [], [], []
         for page in rows[3].to_pylist():
             has_article, found = blocks(page or "")
             content = [text for kind, text in found if kind == CONTENT]
             pages.append(_key("\n".join(content)) if has_article else None)
             keys.append(sorted({_key(text) for text in content}) if has_article else None)
+            contents.append(content if has_article else None)
             opened.append(None if has_article else [t for kind, t in found if kind == OPEN])
-        # Ids and addresses of the others are not needed again.
-        is_open = pa.array([p is None for p in pages], pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [
-                *(pc.if_else(is_open, c, pa.scalar(None, c.type)) for c in rows.columns[:2]),
-                rows[2],
+                *rows.columns[:3],
                 pa.array(pages, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
+                pa.array(contents, pa.list_(pa.string())),
                 pa.array(opened, pa.list_(pa.string())),
             ],
-            names=["id", "url", "host", "page", "content", "opened"],
+            names=["id", "url", "host", "page", "keys", "content", "opened"],
         )
 
 
-def _without(content: list[str], boilerplate: list[int] | None) -> list[str]:
-    """Blocks of content without the host's boilerplate, unless the page would lose too much."""
-    if not boilerplate:
-        return content
-    gone = set(boilerplate)
-    kept = [text for text in content if _key(text) not in gone]
-    before, after = (sum(text.count(" ") + 1 for text in found) for found in (content, kept))
-    return kept if TEMPLATE_WORDS * (before - after) <= before else content
+def _content_runs(content: list[str]) -> np.ndarray:
+    """Keys of all suffixes of a page's content, by place."""
+    keys = _suffix_keys(" ".join(content).split(" "), deep=False)
+    return keys[0].view(np.int64) if keys else np.empty(0, np.int64)
+
+
+def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different suffix keys of the content of each page."""
+    for rows in batches:
+        for host, content in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            keys = np.unique(_content_runs(content))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([host] * len(keys), pa.string()), pa.array(keys)], names=["host", "suffix"]
+            )
+
+
+def _found_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates of its host that each page holds."""
+    for rows in batches:
+        for host, page, content, wanted in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            keys = np.intersect1d(_content_runs(content), np.array(wanted, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([host] * len(keys), pa.string()),
+                    pa.array([page] * len(keys), pa.int64()),
+                    pa.array(keys),
+                ],
+                names=["host", "page", "suffix"],
+            )
+
+
+def _without(content: list[str], boilerplate: list[int], runs: list[int]) -> str:
+    """Text of the content without the host's boilerplate, unless the page would lose too much."""
+    text = " ".join(content)
+    if not boilerplate and not runs:
+        return text
+    words, blocks_gone = text.split(" "), set(boilerplate)
+    places = np.flatnonzero(np.isin(_content_runs(content), np.array(runs, np.int64)))
+    gone, at = _covered(len(words), places.tolist(), RUN), 0
+    for block in content:
+        end = at + block.count(" ") + 1
+        if _key(block) in blocks_gone:
+            gone[at:end] = True
+        at = end
+    if TEMPLATE_WORDS * int(gone.sum()) > len(words):
+        return text
+    return " ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts of the pages that mark an article."""
     for rows in batches:
-        texts = []
-        for page, boilerplate in zip(rows[2].to_pylist(), rows[3].to_pylist(), strict=True):
-            has_article, found = blocks(page or "")
-            content = [text for kind, text in found if kind == CONTENT]
-            texts.append(" ".join(_without(content, boilerplate)) if has_article else None)
-        found = pa.RecordBatch.from_arrays(
+        found = zip(*(c.to_pylist() for c in rows.columns[2:]), strict=True)
+        texts = [_without(content, gone or [], runs or []) for content, gone, runs in found]
+        yield pa.RecordBatch.from_arrays(
             [rows[0], rows[1], pa.array(texts, pa.string())], names=["id", "url", "text"]
         )
-        yield found.filter(found[2].is_valid())
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -498,23 +540,94 @@ def _unique_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def _template_blocks(scanned: DataFrame) -> DataFrame:
-    """One row per host that has some: the keys of the blocks of content that it has nearly
-    everywhere. They are at most 1 / TEMPLATE times the blocks of a page in the mean.
+def _host_sizes(marked: DataFrame) -> DataFrame:
+    """One row per host of enough different pages: how many make something boilerplate there
+    (``need``), the last of the ``PARTS`` that are sorted first, and on how many of their pages a
+    candidate is (``least``).
     """
-    suffixes = scanned.where("page IS NOT NULL").select("host", "page", "content").distinct()
-    pages = suffixes.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    buckets = (
-        suffixes.select("host", F.explode("content").alias("key"))
+    parts = (
+        marked.select("host", "page")
+        .distinct()
+        .groupBy("host", F.pmod("page", F.lit(PARTS)).cast("int").alias("part"))
+        .agg(F.count(F.lit(1)).alias("held"))
+    )
+    # At most PARTS rows of a host.
+    of_host = Window.partitionBy("host")
+    so_far = of_host.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    sums = parts.withColumn("pages", F.sum("held").over(of_host)).withColumn(
+        "before", F.sum("held").over(so_far) - F.col("held")
+    )
+    need = F.ceil(F.lit(TEMPLATE) * F.col("pages")).cast("bigint")
+    missing = F.col("pages") - F.col("need")
+    return (
+        sums.where(F.col("pages") >= TEMPLATE_PAGES)
+        .withColumn("need", need)
+        .where(F.col("before") < missing + F.greatest(F.ceil(missing / 2), F.lit(2)))
+        .groupBy(F.col("host").alias("__host"), "need")
+        .agg(
+            F.max("part").alias("last_part"),
+            (F.sum("held") - (F.max("pages") - F.col("need"))).alias("least"),
+        )
+    )
+
+
+def _template(scanned: DataFrame) -> DataFrame:
+    """One row per host that has some: the keys of the blocks and of the runs of content that it
+    has nearly everywhere. Those of blocks are at most 1 / TEMPLATE times the blocks of a page in
+    the mean, those of runs as many times its words; candidates are three times its words at most.
+    """
+    marked = scanned.where("page IS NOT NULL")
+    hosts = sized(stage_table(_host_sizes(marked), "host_sizes"))
+    here = F.col("host") == F.col("__host")
+    whole = (
+        marked.select("host", "page", "keys")
+        .distinct()
+        .select("host", F.explode("keys").alias("key"))
         .groupBy("host", "key")
         .agg(F.count(F.lit(1)).alias("held"))
         .where(F.col("held") >= TEMPLATE * TEMPLATE_PAGES)
+        .join(hosts, here)
+        .where("held >= need")
+        .select("host", "key", F.lit(True).alias("whole"))
+    )
+    # One row of each different page, so that texts do not move.
+    first = (
+        marked.join(hosts, here)
+        .where(F.pmod("page", F.lit(PARTS)) <= F.col("last_part"))
+        .groupBy("host", "page")
+        .agg(F.min("row").alias("row"))
+        .select("row")
+    )
+    candidates = (
+        marked.join(sized(first), "row", "left_semi")
+        .select("host", "content")
+        .mapInArrow(_run_batches, "host string, suffix bigint")
+        .groupBy("host", "suffix")
+        .agg(F.count(F.lit(1)).alias("held"))
+        .join(hosts, here)
+        .where("held >= least")
+        .groupBy("__host")
+        .agg(F.collect_list("suffix").alias("wanted"))
+    )
+    candidates = stage_table(candidates, "candidate_runs")
+    runs = (
+        marked.join(sized(candidates, TEMPLATE_HOSTS), here)
+        .select("host", "page", "content", "wanted")
+        .mapInArrow(_found_batches, "host string, page bigint, suffix bigint")
+        .distinct()
+        .groupBy("host", "suffix")
+        .agg(F.count(F.lit(1)).alias("held"))
+        .join(hosts, here)
+        .where("held >= need")
+        .select("host", F.col("suffix").alias("key"), F.lit(False).alias("whole"))
     )
     return (
-        buckets.join(pages.where(F.col("pages") >= TEMPLATE_PAGES), "host")
-        .where(F.col("held") >= TEMPLATE * F.col("pages"))
+        whole.unionByName(runs)
         .groupBy(F.col("host").alias("__host"))
-        .agg(F.collect_list("key").alias("boilerplate"))
+        .agg(
+            F.collect_list(F.when(F.col("whole"), F.col("key"))).alias("boilerplate"),
+            F.collect_list(F.when(~F.col("whole"), F.col("key"))).alias("runs"),
+        )
     )
 
 
@@ -628,9 +741,8 @@ def extract_text(
 ) -> DataFrame:
     """One row per page: id, url, text, n_chars.
 
-    A first scan writes the suffix keys of all content, and the open blocks, to the shared folder;
-    a second one reads the texts and leaves out what the sweep found. Pages that mark no article
-    are not read again. Other columns are not read.
+    One scan parses the pages and writes their blocks to the shared folder; the sweep and the
+    texts come from these. Other columns are not read.
     """
     rows = pages.select(
         F.col(page_id).cast("bigint").alias("id"),
@@ -638,11 +750,13 @@ def extract_text(
         url_host(F.col(url)).alias("host"),
         F.col(payload).alias("html"),
     )
-    scanned = stage_table(rows.mapInArrow(_scan_batches, SCAN_DDL), "page_blocks")
-    template = stage_table(_template_blocks(scanned), "template_blocks")
+    scanned = rows.mapInArrow(_scan_batches, SCAN_DDL)
+    scanned = stage_table(scanned.withColumn("row", F.monotonically_increasing_id()), "page_blocks")
+    template = stage_table(_template(scanned), "template")
     texts = (
-        rows.join(sized(template, TEMPLATE_HOSTS), F.col("host") == F.col("__host"), "left")
-        .select("id", "url", "html", "boilerplate")
+        scanned.where("page IS NOT NULL")
+        .join(sized(template, TEMPLATE_HOSTS), F.col("host") == F.col("__host"), "left")
+        .select("id", "url", "content", "boilerplate", "runs")
         .mapInArrow(_text_batches, "id bigint, url string, text string")
     )
     opened = scanned.where("opened IS NOT NULL")

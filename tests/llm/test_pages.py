@@ -362,6 +362,52 @@ def test_lines_of_nearly_all_articles_go(spark):
     assert got == want
 
 
+def test_runs_of_nearly_all_articles_go(spark):
+    """Runs inside the blocks of marked articles, against a search of every run on every page."""
+    prepare(spark)
+    rng = random.Random(11)
+    lines = {n: " ".join(f"line{n}w{k}" for k in range(n)) for n in (7, 8, 9, 14)}
+    found = {}
+    for host, n, shares in (("wide", 61, (1, 0.93, 0.9, 0.87)), ("few", 20, (0.95, 0.9, 0.85, 0.5)),
+                            ("small", 19, (1, 1, 1, 1))):
+        for number, share in zip(rng.sample(sorted(lines), 4), shares, strict=True):
+            holding = set(rng.sample(range(n), round(share * n)))
+            for page in range(n):
+                own = [f"{host}{page}l{number}w{k}" for k in range(rng.randrange(70, 120))]
+                at = rng.randrange(1, len(own))
+                line = [lines[number]] if page in holding else []
+                blocks = found.setdefault((host, page), [])
+                blocks.append(" ".join(own[:at] + line + own[at:]))
+    # Copies count once, and a short page that would lose too much stays whole.
+    found |= {("wide", 61 + k): found["wide", 3] for k in range(30)}
+    found["few", 20] = [f"brief {lines[9]}", lines[14]]
+    want = {}
+    for host in ("wide", "few", "small"):
+        streams = {n: " ".join(b).split(" ") for (h, n), b in found.items() if h == host}
+        distinct = {tuple(s) for s in streams.values()}
+        held = {}
+        for stream in distinct:
+            for run in {stream[i : i + 8] for i in range(len(stream) - 7)}:
+                held[run] = held.get(run, 0) + 1
+        for n, stream in streams.items():
+            gone = [False] * len(stream)
+            for i in range(len(stream) - 7):
+                if len(distinct) >= 20 and held[tuple(stream[i : i + 8])] >= 0.9 * len(distinct):
+                    gone[i : i + 8] = [True] * 8
+            if 5 * sum(gone) > len(stream):
+                gone = [False] * len(stream)
+            want[host, n] = " ".join(w for w, g in zip(stream, gone, strict=True) if not g)
+    names = list(found)
+    rows = [
+        (i, f"http://{host}.com/{n}", "<article>" + "".join(f"<p>{b}</p>" for b in found[host, n]))
+        for i, (host, n) in enumerate(names)
+    ]
+    got = {names[r.page_id]: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert got == want
+    assert any(got[name] != " ".join(found[name]) for name in names if name[0] == "wide")
+    assert any(got[name] != " ".join(found[name]) for name in names if name[0] == "few")
+
+
 def test_many_near_copies_are_one_class(spark):
     """Links through the least stream of a bucket reach all of a large group."""
     prepare(spark)
