@@ -5,6 +5,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import TINY, documents, texts
 
@@ -94,6 +95,31 @@ def test_long_texts_in_pieces(spark, monkeypatch):
         assert covered == Counter((i, p) for i, v in enumerate(values) for p in range(len(v) - 39))
 
 
+def test_row_order_changes_nothing(spark, monkeypatch):
+    """Stored rows come in another order each time they are read, as from many executors."""
+    store = substrings.stage_table
+
+    def mixed(df, name):
+        def turn(batches):
+            for rows in batches:
+                order = np.random.default_rng().permutation(rows.num_rows)
+                yield rows.take(pa.array(order))
+
+        stored = store(df, name).coalesce(1)
+        return stored.mapInArrow(turn, stored.schema)
+
+    monkeypatch.setattr(substrings, "stage_table", mixed)
+    rng = random.Random(4)
+    rows = []
+    for _ in range(150):
+        base = "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(30, 60)))
+        cut = rng.randrange(1, len(base) - 25)
+        part = rng.choice([base[cut:], base[:-cut], "-" + base[cut:], base[:-cut] + "-"])
+        for text in (base, base + rng.choice("qrst"), rng.choice("uvwx") + base, part):
+            rows.append((len(rows), text))
+    check(documents(spark, rows), rows, 24)
+
+
 def test_spans_and_kept_bytes(spark):
     shared = "0123456789" * 3
     docs = documents(spark, [(1, "left " + shared + " right"), (2, shared), (3, "é" + shared[1:])])
