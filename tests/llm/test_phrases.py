@@ -200,3 +200,101 @@ def test_scanned_parts_are_small():
     text = b"some words " * 100_000
     parts = list(phrases._parts([text, b"a b"]))
     assert max(len(part) for held in parts for _, part, _ in held) <= 1 << 17
+
+
+def test_counts_are_moved_and_stored_as_arrays(spark, monkeypatch):
+    """What a scan stores is a few rows for each bucket, however many phrases it counts."""
+    stage, rows, phrase_rows = phrases.stage_table, [], []
+
+    def watch(df, name, *rest, **options):
+        stored = stage(df, name, *rest, **options)
+        if name.startswith("step=") and "slot" not in stored.columns:
+            rows.append(stored.count())
+            phrase_rows.append(stored.selectExpr("sum(octet_length(lasts)) DIV 8").first()[0])
+        return stored
+
+    monkeypatch.setattr(phrases, "stage_table", watch)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    docs = [("en", " ".join(rng.choices(words, k=60))) for _ in range(200)]
+    check(spark.createDataFrame(docs, "lang string, text string"), docs, least=4, shards=2)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(rows) <= 4 * buckets
+    assert max(phrase_rows) > 20 * max(rows)
+
+
+def scanned(texts, langs, bounds):
+    """Stored counts of some texts with all phrases open, by the functions of a scan's tasks."""
+    reached = np.ones(phrases.SLOTS, np.uint8)
+    names = sorted(set(langs))
+    tongues = np.array([names.index(x) for x in langs])
+    batches = []
+    for at in (slice(0, 2), slice(2, None)):
+        held, own = phrases._Held(), [t.encode() for t in texts[at]]
+        for part in phrases._parts(own):
+            phrases._scan(part, tongues[at].astype(np.uint64), tongues[at], reached, 1, 4, held)
+        batches += held.rows(names, bounds)
+    found = [r for b in batches for r in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)]
+    assert len(set(found)) < len(found)
+    rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["bucket"], r["n"], r["lang"] or ""))
+    batch = phrases.pa.RecordBatch.from_pylist(rows, schema=phrases._PACKED_SCHEMA)
+    halves = [batch.slice(0, 3), batch.slice(3)]
+    return [phrases._summed(n, lang, g, 2) for (_, n, lang), g in phrases._buckets(iter(halves))]
+
+
+def test_arrays_of_counts(monkeypatch):
+    """Words and phrases of tasks are added up bucket by bucket, also with equal 64-bit names."""
+    texts = ["a b a b ü", "a b c", "b a b a", "ü ü ü, a"]
+    langs = ["en", "de", "en", "de"]
+    want, _ = counted(zip(langs, texts, strict=True))
+    for same in (False, True):
+        if same:
+            # All names of words and of phrases are equal.
+            monkeypatch.setattr(phrases, "_joined", lambda head, last: head * np.uint64(0))
+        bounds = np.array([1 << 62, 1 << 63, 3 << 62], np.uint64)
+        got, pairs, often = Counter(), Counter(), Counter()
+        for stored in scanned(texts, langs, bounds):
+            row = stored.to_pylist()[0]
+            places = np.frombuffer(row["places"], f"u{len(row['places']) * 8 // len(row['lasts'])}")
+            assert row["total"] == places.sum()
+            often[row["n"]] += row["often"]
+            assert row["often"] == len(row["often_lasts"]) // 8 == np.count_nonzero(places >= 2)
+            if row["n"] == 1:
+                pick = np.arange(len(places))
+                words = phrases._strings(
+                    phrases.pa.py_buffer(row["sizes"]), phrases.pa.py_buffer(row["words"]), pick
+                )
+                for word, k in zip(words.to_pylist(), places.tolist(), strict=True):
+                    got[row["lang"], word] += k
+            else:
+                heads, lasts = (np.frombuffer(row[c], np.uint64) for c in ("heads", "lasts"))
+                for key in zip(heads.tolist(), lasts.tolist(), strict=True):
+                    assert (row["n"], *key) not in pairs
+                    pairs[row["n"], *key] = 1
+        assert got == {(x, p[0]): k for x, f in want.items() for p, k in f.items() if len(p) == 1}
+        assert sum(k for n, *_ in pairs for k in [n == 2]) == sum(
+            len(p) == 2 for f in want.values() for p in f
+        )
+
+
+def test_words_with_one_name_stay_apart():
+    last = np.array([7, 9, 7, 7], np.uint64)
+    data = np.frombuffer(b"abcabzab", np.uint8)
+    name, places, sizes, words = phrases._added_words(
+        last, np.array([1, 2, 3, 4]), np.array([2, 2, 2, 2]), data
+    )
+    found = dict(zip([words.tobytes()[i : i + 2] for i in range(0, 6, 2)], places.tolist(), strict=True))
+    assert name.tolist() == [7, 7, 9] and found == {b"ab": 5, b"bz": 3, b"ca": 2}
+
+
+def test_bitmap_of_wanted_phrases(spark):
+    rng = random.Random(2)
+    keys = [(2, rng.getrandbits(64) - (1 << 63), rng.getrandbits(64) - (1 << 63)) for _ in range(500)]
+    rows = spark.createDataFrame(keys, "n int, head long, last long")
+    for bits in (15, 20):
+        bitmap = phrases._wanted(rows, bits)
+        set_bits = np.flatnonzero(np.unpackbits(bitmap, bitorder="little")).tolist()
+        mask = (1 << 64) - 1
+        assert set_bits == sorted(
+            {(((h & mask) >> 1) ^ (x & mask)) >> (64 - bits) for _, h, x in keys}
+        )
