@@ -298,3 +298,19 @@ def test_bitmap_of_wanted_phrases(spark):
         assert set_bits == sorted(
             {(((h & mask) >> 1) ^ (x & mask)) >> (64 - bits) for _, h, x in keys}
         )
+
+
+def test_scans_leave_no_shuffle_files(spark):
+    """Shuffles of the scans go when they are read; the setting for that ends with the scans."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def shuffles():
+        return sum(b.isShuffle() for b in conversion(blocks.diskBlockManager().getAllBlocks()))
+
+    conversion = lambda found: [found.apply(i) for i in range(found.size())]
+    before, setting = shuffles(), spark.conf.get(phrases.CLEANUP, None)
+    docs = spark.createDataFrame(random_rows(5, 200), "lang string, text string")
+    found = phrases.frequent_phrases(docs, 7)
+    assert shuffles() <= before + 4
+    assert spark.conf.get(phrases.CLEANUP, None) == setting
+    assert found.count()
